@@ -1,0 +1,112 @@
+"""Comparisons without a usable join key, laid out as a grid of bounded cells.
+
+Both sides are spread over buckets of about ``CELL`` strings; a cell compares one bucket with another. The number of
+cells grows with the data, their size does not, and only results leave a cell. Inside a cell, shared characters
+bound every score at array speed, so the exact score is computed for few pairs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tabaudit.functions.similarity import ratio
+
+CELL = 1000
+
+
+def _bucket(text: str, n: str) -> Column:
+    return F.pmod(F.xxhash64(text), F.col(n)).cast("int")
+
+
+def _laid_out(left: DataFrame, right: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
+    """Give every string its cells ``(block, l, r)``."""
+    counts = (
+        left.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("n_l"))
+        .join(right.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("n_r")), "block")
+    )
+
+    def cells(side: DataFrame, own: str, other: str) -> DataFrame:
+        placed = side.join(counts, "block").withColumn(own, _bucket("text", f"n_{own}"))
+        spread = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
+        return spread.select(*[F.col(name).alias(name) for name in [*side.columns, "l", "r"]])
+
+    return cells(left, "l", "r"), cells(right, "r", "l")
+
+
+def _bounds(left: list[str], right: list[str]) -> Iterator[np.ndarray]:
+    """Per left string: upper bounds of its scores with all right strings."""
+    letters = {char: i for i, char in enumerate(sorted(set("".join(right))))}
+
+    def bag(text: str) -> np.ndarray:
+        counts = np.zeros(len(letters), dtype=np.int32)
+        for char in text:
+            if char in letters:
+                counts[letters[char]] += 1
+        return counts
+
+    bags = np.stack([bag(text) for text in right])
+    sizes = np.array([len(text) for text in right])
+    for text in left:
+        yield 200 * np.minimum(bags, bag(text)).sum(axis=1) / np.maximum(sizes + len(text), 1)
+
+
+def pairs_in_grid(left: DataFrame, right: DataFrame, threshold: int, cell: int = CELL) -> DataFrame:
+    """``(block, a_text, b_text, score)`` for all pairs of ``left(block, text)`` and ``right(block, text)``."""
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(a) and len(b):
+            texts = b["text"].tolist()
+            for text, bounds in zip(a["text"], _bounds(a["text"].tolist(), texts)):
+                for i in np.flatnonzero(bounds + 0.5 >= threshold):
+                    score = ratio(text, texts[i])
+                    if score >= threshold:
+                        found.append((a["block"].iloc[0], text, texts[i], score))
+        return pd.DataFrame(found, columns=["block", "a_text", "b_text", "score"])
+
+    # A fresh projection: both sides may be the same table.
+    rows, columns = _laid_out(left, right.select(F.col("block").alias("block"), F.col("text").alias("text")), cell)
+    block_type = left.schema["block"].dataType.simpleString()
+    return (
+        rows.groupBy("block", "l", "r")
+        .cogroup(columns.groupBy("block", "l", "r"))
+        .applyInPandas(compare, f"block {block_type}, a_text string, b_text string, score int")
+    )
+
+
+def best_in_grid(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
+    """``(text, best_text, score)``: the best of ``right(block, text, ord)`` for every ``left(block, text)``.
+
+    Ties go to the lowest ``ord``; strings without any shared character have no line.
+    """
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(a) and len(b):
+            b = b.sort_values("ord", kind="stable")
+            texts, ords = b["text"].tolist(), b["ord"].tolist()
+            for text, bounds in zip(a["text"], _bounds(a["text"].tolist(), texts)):
+                best, best_score = -1, 0
+                for i in np.argsort(-bounds, kind="stable"):
+                    if bounds[i] + 0.5 < best_score:
+                        break
+                    score = ratio(text, texts[i])
+                    if score > best_score or (score == best_score and 0 <= i < best):
+                        best, best_score = int(i), score
+                if best >= 0:
+                    found.append((text, texts[best], ords[best], best_score))
+        return pd.DataFrame(found, columns=["text", "best_text", "ord", "score"])
+
+    rows, columns = _laid_out(left, right, cell)
+    per_cell = (
+        rows.groupBy("block", "l", "r")
+        .cogroup(columns.groupBy("block", "l", "r"))
+        .applyInPandas(compare, "text string, best_text string, ord bigint, score int")
+    )
+    best = per_cell.groupBy("text").agg(F.max_by(F.struct("best_text", "score"), F.struct(F.col("score"), -F.col("ord"))).alias("best"))
+    return best.select("text", F.col("best.best_text").alias("best_text"), F.col("best.score").alias("score"))

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabaudit.functions.similarity import ratio
 from tabaudit.functions.text import sort_tokens
 from tabaudit.operators.fuzzy_join import check_threshold, similar_pairs
-
-CELL = 2000
-
+from tabaudit.operators.grid import best_in_grid
 
 def old_titles(ready: DataFrame) -> DataFrame:
     """Distinct ``(old_id, old_title, file_order, tokens)`` of the ready rows."""
@@ -85,8 +78,10 @@ def automap_unmapped(
     """
     old, targets = old_titles(ready), _targets(_open_targets(catalog, done))
     rest = old.join(mapping.select("old_id", "old_title").distinct(), ["old_id", "old_title"], "left_anti")
-    left = rest.select("tokens").distinct()
-    best = best_in_grid(left, targets.select("tokens", F.col("target.ord").alias("ord"), F.col("target.judul").alias("judul")))
+    left = rest.select(F.lit(0).alias("block"), F.col("tokens").alias("text")).distinct()
+    right = targets.select(F.lit(0).alias("block"), F.col("tokens").alias("text"), F.col("target.ord").alias("ord"))
+    best = best_in_grid(left, right).join(targets.withColumnRenamed("tokens", "best_text"), "best_text")
+    best = best.select(F.col("text").alias("tokens"), F.col("target.judul").alias("judul"), "score")
     return rest.join(best, "tokens", "left").select(
         "old_id",
         "old_title",
@@ -95,52 +90,6 @@ def automap_unmapped(
     )
 
 
-def best_in_grid(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
-    """``(tokens, judul, score)``: exact best ``right(tokens, ord, judul)`` for every ``left(tokens)``."""
-    n_left, n_right = (max(1, math.ceil(side.count() / cell)) for side in (left, right))
-    l_cell, r_cell = (F.pmod(F.xxhash64("tokens"), F.lit(n)).cast("int") for n in (n_left, n_right))
-    rows = left.select("tokens", l_cell.alias("l"), F.explode(F.sequence(F.lit(0), F.lit(n_right - 1))).alias("r"))
-    columns = right.select("tokens", "ord", "judul", F.explode(F.sequence(F.lit(0), F.lit(n_left - 1))).alias("l"), r_cell.alias("r"))
-    found = rows.groupBy("l", "r").cogroup(columns.groupBy("l", "r")).applyInPandas(
-        _best_of_cell, "tokens string, ord bigint, judul string, score int"
-    )
-    return (
-        found.groupBy("tokens")
-        .agg(F.max_by(F.struct("judul", "score"), F.struct(F.col("score"), -F.col("ord"))).alias("best"))
-        .select("tokens", F.col("best.judul").alias("judul"), F.col("best.score").alias("score"))
-    )
-
-
-def _best_of_cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Best line per left title: targets in order of their bound (shared characters), until no bound can win."""
-    found = []
-    if len(left) and len(right):
-        right = right.sort_values("ord", kind="stable")
-        letters = {char: i for i, char in enumerate(sorted(set("".join(right["tokens"]))))}
-        bags = np.zeros((len(right), len(letters)), dtype=np.int32)
-        for i, text in enumerate(right["tokens"]):
-            for char in text:
-                bags[i, letters[char]] += 1
-        sizes = right["tokens"].str.len().to_numpy()
-        texts, ords, titles = right["tokens"].tolist(), right["ord"].tolist(), right["judul"].tolist()
-        for text in left["tokens"]:
-            bag = np.zeros(len(letters), dtype=np.int32)
-            for char in text:
-                if char in letters:
-                    bag[letters[char]] += 1
-            bounds = 200 * np.minimum(bags, bag).sum(axis=1) / np.maximum(sizes + len(text), 1)
-            best, best_score = -1, 0
-            for i in np.argsort(-bounds, kind="stable"):
-                if bounds[i] + 0.5 < best_score:
-                    break
-                score = ratio(text, texts[i])
-                if score > best_score or (score == best_score and best >= 0 and i < best):
-                    best, best_score = int(i), score
-            if best >= 0:
-                found.append((text, ords[best], titles[best], best_score))
-    return pd.DataFrame(found, columns=["tokens", "ord", "judul", "score"])
-
-
 def collisions(mapping: DataFrame) -> DataFrame:
     """Mapping lines whose target is also the target of another line."""
     shared = mapping.groupBy("new_id").agg(F.count(F.lit(1)).alias("n_old")).where("n_old > 1")

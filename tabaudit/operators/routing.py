@@ -35,8 +35,15 @@ def gate_summary(audited: DataFrame, statuses: Iterable[str] | None = None) -> D
     return audited.agg(total.alias("total_rows"), loadable.alias("loadable_rows"), (total - loadable).alias("blocked_rows"))
 
 
-def catalog_head(catalog: DataFrame, max_datasets: int) -> DataFrame:
-    """First datasets in catalog order: the assessment budget of a run."""
+# A larger budget than this is compared with the size of the catalog first: the top-k operator reserves room for
+# the whole limit in every task.
+DIRECT_LIMIT = 100_000
+
+
+def catalog_head(catalog: DataFrame, max_datasets: int | None) -> DataFrame:
+    """First datasets in catalog order: the assessment budget of a run; None means all."""
+    if max_datasets is None or (max_datasets > DIRECT_LIMIT and catalog.count() <= max_datasets):
+        return catalog
     return catalog.orderBy("ord").limit(max_datasets)
 
 
@@ -103,23 +110,16 @@ def load_summary(quality: DataFrame) -> DataFrame:
     ).where(F.col("Total_Dataset_Dinilai") > 0)
 
 
-def _decided(audited: DataFrame, quality: DataFrame, decision: str) -> DataFrame:
-    chosen = quality.where(F.col("Load_Decision") == decision).select(
-        F.col("Dataset_Id").alias("dataset_id"), "Judul_Tabel", "Catalog_Suspect"
-    )
-    return audited.join(chosen, "dataset_id")
+def route(audited: DataFrame, quality: DataFrame, statuses: Iterable[str] | None = None) -> DataFrame:
+    """Every routed row with its ``Load_Decision``: loadable rows of ready datasets, all rows of review datasets.
 
-
-def pack_ready(audited: DataFrame, quality: DataFrame, statuses: Iterable[str] | None = None) -> DataFrame:
-    """Loadable rows of the datasets that are ready, one JSON document per row."""
-    return gate_select(_decided(audited, quality, READY_FOR_LOAD), statuses).select(
-        F.col("dataset_id").alias("Dataset_Id"), "Judul_Tabel", F.to_json("row").alias("Row_Data_JSON"), "row_no"
+    One pass over the rows serves both outputs when it is written partitioned by the decision.
+    """
+    decisions = quality.where(F.col("Load_Decision") != SKIPPED).select(
+        F.col("Dataset_Id").alias("dataset_id"), "Judul_Tabel", "Catalog_Suspect", "Load_Decision"
     )
-
-
-def pack_review(audited: DataFrame, quality: DataFrame) -> DataFrame:
-    """All rows, good and bad, of the datasets a manager has to look at."""
-    return _decided(audited, quality, REVIEW).select(
+    kept = (F.col("Load_Decision") == REVIEW) | _is_allowed(audited, statuses)
+    return audited.join(decisions, "dataset_id").where(kept).select(
         F.col("dataset_id").alias("Dataset_Id"),
         "Judul_Tabel",
         "Catalog_Suspect",
@@ -127,4 +127,16 @@ def pack_review(audited: DataFrame, quality: DataFrame) -> DataFrame:
         "flag_reason",
         F.to_json("row").alias("Row_Data_JSON"),
         "row_no",
+        "Load_Decision",
     )
+
+
+def pack_ready(audited: DataFrame, quality: DataFrame, statuses: Iterable[str] | None = None) -> DataFrame:
+    """Loadable rows of the datasets that are ready, one JSON document per row."""
+    chosen = quality.where(F.col("Load_Decision") == READY_FOR_LOAD)
+    return route(audited, chosen, statuses).select("Dataset_Id", "Judul_Tabel", "Row_Data_JSON", "row_no")
+
+
+def pack_review(audited: DataFrame, quality: DataFrame) -> DataFrame:
+    """All rows, good and bad, of the datasets a manager has to look at."""
+    return route(audited, quality.where(F.col("Load_Decision") == REVIEW)).drop("Load_Decision")

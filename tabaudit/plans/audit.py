@@ -12,9 +12,14 @@ from tabaudit.settings import Settings
 
 
 def rename_plan(records: DataFrame, aliases: dict[str, str]) -> DataFrame:
-    """Renames of the audit, the year column included; of columns that end up equal the first stays."""
-    plan = schema.audit_rename_plan(schema.dataset_columns(records), aliases)
-    return schema.settle_duplicates(schema.with_year_rename(plan))
+    """Renames of the audit, the year column included; of columns that end up equal the first stays.
+
+    Finding the columns reads every row, and both the columns and the plan are read several times. They are small
+    (one row per dataset and column), so each is written once to the checkpoint folder.
+    """
+    columns = cut_lineage(schema.dataset_columns(records))
+    plan = schema.audit_rename_plan(columns, aliases)
+    return cut_lineage(schema.settle_duplicates(schema.with_year_rename(plan)))
 
 
 def clean(records: DataFrame, plan: DataFrame) -> DataFrame:
@@ -69,14 +74,18 @@ def audit(
         tables["duplicates"] = found["duplicates"]
         tables["skipped"] = cat.skipped_report(found["groups"], records, fetch_status, settings.dup_sample_size)
     head = routing.catalog_head(catalog, settings.max_datasets)
-    assessed = records.join(head.select(F.col("id").alias("dataset_id")), "dataset_id", "left_semi")
+    assessed = records
+    if settings.max_datasets is not None:
+        head = cut_lineage(head)
+        assessed = records.join(head.select(F.col("id").alias("dataset_id")), "dataset_id", "left_semi")
     plan = rename_plan(assessed, aliases)
     audited = assess(clean(assessed, plan), plan, settings)
     issues = schema.schema_issues(schema.final_columns(plan), settings.require_columns, plan)
-    quality = routing.quality_report(head, audited, issues, suspects, fetch_status, settings.allowed_load_statuses)
+    quality = cut_lineage(routing.quality_report(head, audited, issues, suspects, fetch_status, settings.allowed_load_statuses))
     tables["renames"] = schema.rename_report(plan)
     tables["quality"] = quality
     tables["summary"] = routing.load_summary(quality)
     tables["load_ready"] = routing.pack_ready(audited, quality, settings.allowed_load_statuses)
     tables["manager_review"] = routing.pack_review(audited, quality)
+    tables["routed"] = routing.route(audited, quality, settings.allowed_load_statuses)
     return tables

@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame
 from tabaudit.operators import mapping as maps
 from tabaudit.operators import payloads as pay
 from tabaudit.operators import progress, schema
+from tabaudit.session import cut_lineage
 from tabaudit.settings import Settings
 
 
 def key_plan(ready: DataFrame, aliases: dict[str, str], fuzzy_threshold: int = 80, targets: Sequence[str] = ()) -> DataFrame:
     """Key renames before delivery; of keys that end up equal the last one stays."""
-    columns = schema.dataset_columns(pay.unpack_rows(ready).where("row is not null"))
-    return schema.settle_duplicates(schema.key_rename_plan(columns, aliases, fuzzy_threshold, targets), keep="last")
+    columns = cut_lineage(schema.dataset_columns(pay.unpack_rows(ready).where("row is not null")))
+    plan = schema.key_rename_plan(columns, aliases, fuzzy_threshold, targets)
+    return cut_lineage(schema.settle_duplicates(plan, keep="last"))
 
 
 def plan_batch(
@@ -28,7 +30,7 @@ def plan_batch(
 ) -> dict[str, DataFrame]:
     """Mapping to the targets that are still open, and the payloads for them."""
     done = progress.done_ids(log)
-    mapping = maps.automap(ready, catalog, settings.dup_threshold, done)
+    mapping = cut_lineage(maps.automap(ready, catalog, settings.dup_threshold, done))
     plan = key_plan(ready, aliases, fuzzy_threshold)
     classified = pay.classify_rows(ready, mapping, plan)
     rows = pay.payload_rows(classified)

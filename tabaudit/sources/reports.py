@@ -26,6 +26,11 @@ def write_reports(tables: dict[str, DataFrame], folder: str, only_if_any: tuple[
     return [name for name, df in tables.items() if write_report(df, f"{folder}/{name}", name in only_if_any)]
 
 
+def write_routed(routed: DataFrame, path: str) -> None:
+    """Ready and review rows in one pass, one folder per decision."""
+    routed.write.mode("overwrite").partitionBy("Load_Decision").parquet(path)
+
+
 def write_payloads(documents: DataFrame, path: str) -> None:
     """Payload documents as JSON lines for delivery. A payload document is the unit that is spread over files."""
     documents.repartition("target_id", "old_id", "chunk").write.mode("overwrite").json(path)

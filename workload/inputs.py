@@ -87,32 +87,41 @@ def year_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SENTENCE_END = "[.\n]"
 TITLE = r"<title>(.*?)</title>"
 DROPPED = r"(?s)<head.*?</head>|<script.*?</script>|<style.*?</style>|<nav>.*?</nav>"
 
 
 def page_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``catalog(ord, id, judul)``: web pages by title; copies and near copies occur."""
+    """``catalog(ord, id, judul)``: web pages by title."""
     return table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("ord"), F.col("page_id").cast("string").alias("id"), F.regexp_extract("html", TITLE, 1).alias("judul")
     )
 
 
-def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the web pages: every sentence of the text, whole."""
+def page_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(dataset_id, row_no, teks)``: every sentence of the web pages, whole."""
     text = F.regexp_replace(F.regexp_replace("html", DROPPED, ""), "<[^>]*>", "\n")
     rows = table(spark, sf_dir, "pages").select(
-        F.col("page_id").cast("string").alias("dataset_id"), F.posexplode(F.split(text, "[.\n]")).alias("pos", "teks")
-    )
-    return rows.where("trim(teks) <> ''").select(
-        "dataset_id", F.col("pos").cast("long").alias("row_no"), F.create_map(F.lit("Teks"), F.trim("teks")).alias("row")
+        F.col("page_id").cast("string").alias("dataset_id"), F.posexplode(F.split(text, SENTENCE_END)).alias("pos", "teks")
     )
+    return rows.where("trim(teks) <> ''").select("dataset_id", F.col("pos").cast("long").alias("row_no"), F.trim("teks").alias("teks"))
 
 
 def document_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``catalog(ord, id, judul)``: documents by their first line."""
+    """``catalog(ord, id, judul)``: documents by their first sentence; copies and near copies occur."""
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("id"), F.element_at(F.split("text", "\n"), 1).alias("judul")
+        F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("id"), F.element_at(F.split("text", SENTENCE_END), 1).alias("judul")
+    )
+
+
+def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the documents: every further sentence, whole."""
+    rows = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("dataset_id"), F.posexplode(F.split("text", SENTENCE_END)).alias("pos", "teks")
+    )
+    return rows.where("pos > 0 AND trim(teks) <> ''").select(
+        "dataset_id", F.col("pos").cast("long").alias("row_no"), F.create_map(F.lit("Teks"), F.trim("teks")).alias("row")
     )
 
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from tabaudit.operators.catalog import (
     EMPTY_DETAIL,
     EMPTY_DETAIL_MESSAGE,
+    EMPTY_FINGERPRINT,
+    EMPTY_FINGERPRINT_MESSAGE,
     FETCH_ERROR,
     IDENTICAL,
 )
@@ -71,7 +73,7 @@ def _tokens(text: str) -> str:
 
 def _patterns(source: str) -> str:
     """Strings of ``source(x)`` as characters, length, and position masks for a bit-parallel subsequence (up to 125)."""
-    return f"""SELECT x, string_split(x, '') AS chars, length(x) AS n, CASE WHEN length(x) <= 125 THEN (1::HUGEINT << length(x)) - 1 ELSE 0::HUGEINT END AS full_mask,
+    return f"""SELECT x, string_split(x, '') AS chars, length(x) AS n, list_transform(string_split('abcdefghilmnoprstu ', ''), lambda ch: length(x) - length(replace(x, ch, ''))) AS bag, CASE WHEN length(x) <= 125 THEN (1::HUGEINT << length(x)) - 1 ELSE 0::HUGEINT END AS full_mask,
  CASE WHEN length(x) BETWEEN 1 AND 125 THEN map(list_distinct(string_split(x, '')), list_transform(list_distinct(string_split(x, '')), lambda ch:
  list_sum(list_transform(range(length(x)), lambda i: CASE WHEN substr(x, i + 1, 1) = ch THEN (1::HUGEINT << i) ELSE 0::HUGEINT END))::HUGEINT)) END AS masks
  FROM (SELECT DISTINCT x FROM {source})"""
@@ -83,60 +85,101 @@ def _lcs(p: str, t: str) -> str:
  lambda v, m: ((v + (v & m)) | (v - (v & m))) & {p}.full_mask, {p}.full_mask)))"""
 
 
-def _lcs_any(p: str, t: str) -> str:
-    """The same for any lengths, ``p`` being the shorter: long patterns go through the table, row by row."""
-    table = f"""list_reduce(range(1, {p}.n + 1), lambda prev, i: list_reduce(range(1, {t}.n + 1), lambda cur, j: list_append(cur,
+def _lcs_long(p: str, t: str) -> str:
+    """The same for long patterns, by the table of prefixes, row by row."""
+    return f"""list_reduce(range(1, {p}.n + 1), lambda prev, i: list_reduce(range(1, {t}.n + 1), lambda cur, j: list_append(cur,
  CASE WHEN {p}.chars[i] = {t}.chars[j] THEN prev[j] + 1 ELSE greatest(prev[j + 1], cur[j]) END), [0::BIGINT]),
  list_transform(range(0, {t}.n + 1), lambda z: 0::BIGINT))[{t}.n + 1]"""
-    return f"CASE WHEN {p}.x = {t}.x THEN {p}.n WHEN {p}.n <= 125 THEN {_lcs(p, t)} ELSE {table} END"
 
 
 def _score(lcs: str, p: str, t: str) -> str:
     return f"cast(round_even(200.0 * {lcs} / ({p}.n + {t}.n), 0) AS INTEGER)"
 
 
-TITLES = f"""cat AS (SELECT page_id AS ord, cast(page_id AS string) AS id, regexp_extract(html, '{inputs.TITLE}', 1) AS judul FROM pages),
-titled AS (SELECT *, {_normal('judul')} AS title, {_tokens(_normal('judul'))} AS x FROM cat),
-pats AS ({_patterns('titled')}), nodes AS (SELECT min(ord) AS node, x FROM titled GROUP BY x),
-edges AS (SELECT a.node AS a, b.node AS b, a.x AS ax, b.x AS bx, {_score(_lcs('p', 't'), 'p', 't')} AS score
- FROM nodes a JOIN nodes b ON a.node < b.node JOIN pats p ON p.x = a.x JOIN pats t ON t.x = b.x WHERE p.n > 0 AND t.n > 0 AND score >= 75)"""
-GROUPS = f"""{TITLES},
+def _budget(p: str, t: str, threshold: int) -> str:
+    return f"({p}.n + {t}.n - 2 * (({2 * threshold - 1} * ({p}.n + {t}.n) + 399) // 400))"
+
+
+def _close(p: str, t: str, threshold: int) -> str:
+    """Necessary for the threshold: edit distance within the budget. The distance counts bytes, hence the factor for
+    strings beyond ASCII."""
+    wide = f"CASE WHEN strlen({p}.x) = {p}.n AND strlen({t}.x) = {t}.n THEN 1 ELSE 3 END"
+    return f"CASE WHEN abs({p}.n - {t}.n) > {_budget(p, t, threshold)} THEN false ELSE levenshtein({p}.x, {t}.x) <= {wide} * {_budget(p, t, threshold)} END"
+
+
+def _all_scores(pairs: str, pats: str, threshold: int) -> str:
+    """Text scores ``(ax, bx, score)`` of the different non-empty ``pairs(ax, bx)`` that may reach the threshold."""
+    bag = "list_sum(list_transform(range(1, 20), lambda i: abs(p.bag[i] - t.bag[i])))"
+    return f"""{pairs}_alike AS MATERIALIZED (SELECT ax, bx FROM {pairs} JOIN {pats} p ON p.x = ax JOIN {pats} t ON t.x = bx
+ WHERE p.n > 0 AND t.n > 0 AND ax <> bx AND abs(p.n - t.n) <= {_budget('p', 't', threshold)} AND {bag} <= {_budget('p', 't', threshold)}),
+{pairs}_near AS MATERIALIZED (SELECT ax, bx, CASE WHEN p.n <= t.n THEN ax ELSE bx END AS px, CASE WHEN p.n <= t.n THEN bx ELSE ax END AS tx
+ FROM {pairs}_alike JOIN {pats} p ON p.x = ax JOIN {pats} t ON t.x = bx WHERE {_close('p', 't', threshold)}),
+{pairs}_short AS MATERIALIZED (SELECT * FROM {pairs}_near WHERE length(px) <= 125), {pairs}_long AS MATERIALIZED (SELECT * FROM {pairs}_near WHERE length(px) > 125),
+{pairs}_scores AS (SELECT ax, bx, {_score(_lcs('p', 't'), 'p', 't')} AS score FROM {pairs}_short JOIN {pats} p ON p.x = px JOIN {pats} t ON t.x = tx
+ UNION ALL SELECT ax, bx, {_score(_lcs_long('p', 't'), 'p', 't')} FROM {pairs}_long JOIN {pats} p ON p.x = px JOIN {pats} t ON t.x = tx)"""
+
+
+def _titles(source: str, threshold: int) -> str:
+    return f"""cat AS ({source}), titled AS (SELECT *, {_normal('judul')} AS title, {_tokens(_normal('judul'))} AS x FROM cat),
+pats AS MATERIALIZED ({_patterns('titled')}), nodes AS (SELECT min(ord) AS node, x FROM titled GROUP BY x),
+tpairs AS (SELECT a.x AS ax, b.x AS bx FROM nodes a JOIN nodes b ON a.node < b.node), {_all_scores('tpairs', 'pats', threshold)},
+edges AS MATERIALIZED (SELECT a.node AS a, b.node AS b, ax, bx, score FROM tpairs_scores JOIN nodes a ON a.x = ax JOIN nodes b ON b.x = bx WHERE score >= {threshold})"""
+
+
+def _groups(source: str, threshold: int) -> str:
+    return f"""{_titles(source, threshold)},
 steps AS (SELECT list({{'id': node, 'nb': coalesce((SELECT list(a) FROM edges WHERE b = node), []::BIGINT[])}} ORDER BY node) AS l FROM nodes),
 led AS (SELECT list_reduce(l, lambda acc, s: {{'id': s.id, 'nb': CASE WHEN list_has_any(acc.nb, s.nb) THEN acc.nb ELSE list_append(acc.nb, s.id) END}},
  {{'id': -1::BIGINT, 'nb': []::BIGINT[]}}).nb AS leaders FROM steps),
 placed AS (SELECT node, x, coalesce(CASE WHEN list_contains(leaders, node) THEN node END, (SELECT min(a) FROM edges WHERE b = node AND list_contains(leaders, a))) AS group_ord FROM nodes, led),
 members AS (SELECT group_ord, id AS dataset_id, ord, judul, title, count(*) OVER (PARTITION BY group_ord) AS n FROM titled JOIN placed USING (x)),
 groups AS (SELECT m.group_ord, h.title AS base_title, m.dataset_id, m.ord, m.judul FROM members m JOIN members h ON h.ord = m.group_ord WHERE m.n > 1)"""
-SENTENCES = rf"""split AS (SELECT cast(page_id AS string) AS dataset_id, string_split_regex(regexp_replace(regexp_replace(html, '{inputs.DROPPED}', '', 'g'), '<[^>]*>', chr(10), 'g'), '[.\n]') AS parts FROM pages),
+
+
+PAGE_CATALOG = f"SELECT page_id AS ord, cast(page_id AS string) AS id, regexp_extract(html, '{inputs.TITLE}', 1) AS judul FROM pages"
+DOCUMENT_CATALOG = r"SELECT doc_id AS ord, cast(doc_id AS string) AS id, string_split_regex(text, '[.\n]')[1] AS judul FROM documents"
+TITLES, GROUPS = _titles(DOCUMENT_CATALOG, 85), _groups(DOCUMENT_CATALOG, 85)
+
+
+def _sentences(identity: str, text: str, table: str, first: int) -> str:
+    return rf"""split AS (SELECT cast({identity} AS string) AS dataset_id, string_split_regex({text}, '[.\n]') AS parts FROM {table}),
 numbered AS (SELECT dataset_id, unnest(parts) AS part, generate_subscripts(parts, 1) - 1 AS row_no FROM split),
-sentences AS (SELECT dataset_id, row_no, trim(part) AS teks FROM numbered WHERE trim(part) <> '')"""
+sentences AS (SELECT dataset_id, row_no, trim(part) AS teks FROM numbered WHERE row_no >= {first} AND trim(part) <> '')"""
+
+
+PAGE_SENTENCES = _sentences("page_id", f"regexp_replace(regexp_replace(html, '{inputs.DROPPED}', '', 'g'), '<[^>]*>', chr(10), 'g')", "pages", 0)
+SENTENCES = _sentences("doc_id", "text", "documents", 1)
+# A sample of five rows can only reach 98 if every row has a match of at least 80 (100 - 5 * 4), so row scores that
+# cannot reach 80 need no exact value.
 PAIRS = f"""{GROUPS}, {SENTENCES},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY row_no) AS rk FROM sentences),
-prints AS (SELECT g.group_ord, g.ord, r.dataset_id, 'Teks=' || lower(teks) AS x, r.rk FROM ranked r JOIN groups g USING (dataset_id) WHERE rk <= 8),
+prints AS (SELECT g.group_ord, g.ord, r.dataset_id, 'Teks=' || lower(teks) AS x FROM ranked r JOIN groups g USING (dataset_id) WHERE rk <= 5),
 samples AS (SELECT group_ord, ord, dataset_id, list(x ORDER BY x) AS xs FROM prints GROUP BY ALL),
 classed AS (SELECT *, min(ord) OVER (PARTITION BY group_ord, xs) AS class FROM samples),
-classes AS (SELECT DISTINCT group_ord, class, xs FROM classed), rowpats AS ({_patterns('prints')}),
+classes AS (SELECT DISTINCT group_ord, class, xs FROM classed), rowpats AS MATERIALIZED ({_patterns('prints')}),
 class_rows AS (SELECT group_ord, class, unnest(xs) AS x, generate_subscripts(xs, 1) AS i FROM classes),
+rpairs AS (SELECT DISTINCT a.x AS ax, b.x AS bx FROM class_rows a JOIN class_rows b ON a.group_ord = b.group_ord AND a.class < b.class),
+{_all_scores('rpairs', 'rowpats', 80)},
 row_scores AS (SELECT a.group_ord, a.class AS a_class, b.class AS b_class, a.i AS ai, b.i AS bi,
- CASE WHEN pa.n <= pb.n THEN {_score(_lcs_any('pa', 'pb'), 'pa', 'pb')} ELSE {_score(_lcs_any('pb', 'pa'), 'pa', 'pb')} END AS s
- FROM class_rows a JOIN class_rows b ON a.group_ord = b.group_ord AND a.class < b.class JOIN rowpats pa ON pa.x = a.x JOIN rowpats pb ON pb.x = b.x),
+ CASE WHEN a.x = b.x THEN 100 ELSE coalesce(score, 0) END AS s
+ FROM class_rows a JOIN class_rows b ON a.group_ord = b.group_ord AND a.class < b.class LEFT JOIN rpairs_scores ON ax = a.x AND bx = b.x),
 forward AS (SELECT group_ord, a_class, b_class, avg(m) AS f FROM (SELECT group_ord, a_class, b_class, ai, max(s) AS m FROM row_scores GROUP BY ALL) GROUP BY ALL),
 backward AS (SELECT group_ord, a_class, b_class, avg(m) AS f FROM (SELECT group_ord, a_class, b_class, bi, max(s) AS m FROM row_scores GROUP BY ALL) GROUP BY ALL),
 class_pairs AS (SELECT group_ord, a_class, b_class, (forward.f + backward.f) / 2 AS similarity FROM forward JOIN backward USING (group_ord, a_class, b_class)),
 dups AS (SELECT a.dataset_id AS a_id, b.dataset_id AS b_id, a.group_ord, CASE WHEN a.class = b.class THEN 100.0 ELSE similarity END AS similarity
  FROM classed a JOIN classed b ON a.group_ord = b.group_ord AND a.ord < b.ord
  LEFT JOIN class_pairs p ON p.group_ord = a.group_ord AND p.a_class = least(a.class, b.class) AND p.b_class = greatest(a.class, b.class)
- WHERE a.class = b.class OR similarity >= 95)"""
+ WHERE a.class = b.class OR similarity >= 98)"""
 
 # --- mapping -------------------------------------------------------------------------------------------------------
 
-BEST = f"""old AS (SELECT cast(page_id AS string) AS old_id, regexp_extract(html, '{inputs.TITLE}', 1) AS old_title, {_tokens(f"regexp_extract(html, '{inputs.TITLE}', 1)")} AS x FROM pages),
-new AS (SELECT doc_id AS ord, cast(doc_id AS string) AS id, split_part(text, chr(10), 1) AS judul, {_tokens("split_part(text, chr(10), 1)")} AS x FROM documents),
+BEST = rf"""old AS (SELECT cast(page_id AS string) AS old_id, regexp_extract(html, '{inputs.TITLE}', 1) AS old_title, {_tokens(f"regexp_extract(html, '{inputs.TITLE}', 1)")} AS x FROM pages),
+new AS (SELECT doc_id AS ord, cast(doc_id AS string) AS id, string_split_regex(text, '[.\n]')[1] AS judul, {_tokens("string_split_regex(text, '[.\n]')[1]")} AS x FROM documents),
 firsts AS (SELECT x, min(ord) AS ord, arg_min(id, ord) AS id, arg_min(judul, ord) AS judul FROM new GROUP BY x),
 old_pats AS ({_patterns('old')}), new_chars AS (SELECT x, ord, id, judul, string_split(x, '') AS chars, length(x) AS n FROM firsts),
 scored AS (SELECT p.x, t.ord, t.id, t.judul, {_score(_lcs('p', 't'), 'p', 't')} AS score FROM old_pats p, new_chars t WHERE p.n > 0 AND t.n > 0),
 best AS (SELECT * FROM scored WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY x ORDER BY score DESC, ord) = 1),
-mapping AS (SELECT old_id, old_title, id AS new_id, judul AS new_title, score AS match_score FROM old JOIN best USING (x) WHERE score >= 75)"""
+mapping AS (SELECT old_id, old_title, id AS new_id, judul AS new_title, score AS match_score FROM old JOIN best USING (x) WHERE score >= 85)"""
 
 # --- payloads and progress -----------------------------------------------------------------------------------------
 
@@ -217,7 +260,7 @@ ORACLES: dict[str, str] = {
  cast({N_KEYS} AS INTEGER) AS n_keys FROM assessed a JOIN quality q ON q.Dataset_Id = a.dataset_id WHERE Load_Decision = 'manager_review_required'""",
     "title_normalize": f"SELECT doc_id, cast(length(t) AS INTEGER) AS n_chars, md5(t) AS md5 FROM (SELECT doc_id, {_normal('text')} AS t FROM documents)",
     "token_sort": f"SELECT doc_id, cast(length(t) AS INTEGER) AS n_chars, md5(t) AS md5 FROM (SELECT doc_id, {_tokens('text')} AS t FROM documents)",
-    "indel_ratio": f"""WITH {SENTENCES}, t AS (SELECT cast(page_id AS string) AS dataset_id, regexp_extract(html, '{inputs.TITLE}', 1) AS x FROM pages),
+    "indel_ratio": f"""WITH {PAGE_SENTENCES}, t AS (SELECT cast(page_id AS string) AS dataset_id, regexp_extract(html, '{inputs.TITLE}', 1) AS x FROM pages),
  pats AS ({_patterns('t')}), rows_ AS (SELECT *, string_split(teks, '') AS chars, length(teks) AS n FROM sentences)
  SELECT dataset_id, row_no, CASE WHEN p.n = 0 THEN 0 ELSE {_score(_lcs('p', 'r'), 'p', 'r')} END AS score FROM rows_ r JOIN t USING (dataset_id) JOIN pats p ON p.x = t.x""",
     "token_sort_ratio": f"""WITH t AS (SELECT page_id, {_tokens(f"regexp_extract(html, '{inputs.TITLE}', 1)")} AS x, {_tokens('url')} AS u FROM pages),
@@ -225,19 +268,22 @@ ORACLES: dict[str, str] = {
  SELECT page_id, CASE WHEN p.n = 0 THEN 0 ELSE {_score(_lcs('p', 'r'), 'p', 'r')} END AS score FROM r JOIN pats p USING (x)""",
     "title_edges": f"WITH {TITLES} SELECT a AS a_ord, b AS b_ord, ax AS a_text, bx AS b_text, score FROM edges",
     "title_groups": f"WITH {GROUPS} SELECT * FROM groups",
+    "title_groups_low": f"WITH {_groups(PAGE_CATALOG, 60)} SELECT group_ord, base_title, dataset_id FROM groups",
     "sample_rows": f"""WITH {SENTENCES} SELECT dataset_id, row_no, md5(teks) AS md5 FROM sentences
  QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY row_no) <= 5""",
     "row_fingerprint": f"""WITH {CELLS} SELECT dataset_id, row_no, string_agg(k || '=' || lower(trim(v)), '|' ORDER BY k) FILTER (WHERE trim(coalesce(v, '')) <> '') AS fingerprint
  FROM cells GROUP BY 1, 2""",
-    "pair_similarity": f"WITH {PAIRS} SELECT group_ord, a_class, b_class, round(similarity, 6) AS similarity FROM class_pairs WHERE similarity >= 95",
+    "pair_similarity": f"WITH {PAIRS} SELECT group_ord, a_class, b_class, round(similarity, 6) AS similarity FROM class_pairs WHERE similarity >= 98",
     "dup_pairs": f"""WITH {PAIRS} SELECT a_id AS ID_Tabel_A, a.judul AS Judul_Tabel_A, b_id AS ID_Tabel_B, b.judul AS Judul_Tabel_B, round_even(similarity, 1) AS Skor_Kemiripan,
  CASE WHEN similarity = 100 THEN '{IDENTICAL}' ELSE 'Isi data hampir identik (' || round_even(similarity, 1) || '%)' END AS Alasan_Duplikat, a.base_title AS Grup_Pencarian_Awal
  FROM dups JOIN groups a ON a.dataset_id = a_id JOIN groups b ON b.dataset_id = b_id""",
     "suspect_ids": f"WITH {PAIRS} SELECT a_id AS dataset_id FROM dups UNION SELECT b_id FROM dups",
-    "skipped_report": f"""WITH {GROUPS}, {SENTENCES}, seen AS (SELECT DISTINCT dataset_id FROM sentences WHERE length(teks) > 60),
- judged AS (SELECT g.*, url LIKE '%utm_source%' AS failed, s.dataset_id IS NULL AS nothing FROM groups g JOIN pages ON page_id = g.ord LEFT JOIN seen s ON s.dataset_id = g.dataset_id)
- SELECT dataset_id AS Dataset_ID_Gagal, judul AS Judul_Asli_Dataset, CASE WHEN failed THEN '{FETCH_ERROR}' ELSE '{EMPTY_DETAIL}' END AS Kategori_Error,
- CASE WHEN failed THEN 'timeout' ELSE '{EMPTY_DETAIL_MESSAGE}' END AS Pesan_Detail, base_title AS Grup_Pencarian_Awal FROM judged WHERE failed OR nothing""",
+    "skipped_report": f"""WITH {GROUPS}, {SENTENCES}, ranked AS (SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY row_no) AS rk FROM sentences),
+ seen AS (SELECT dataset_id, bool_or(length(teks) > 60) AS filled FROM ranked WHERE rk <= 5 GROUP BY 1),
+ judged AS (SELECT g.*, lang = 'de' AS failed, filled FROM groups g JOIN documents ON doc_id = g.ord LEFT JOIN seen s ON s.dataset_id = g.dataset_id)
+ SELECT dataset_id AS Dataset_ID_Gagal, judul AS Judul_Asli_Dataset, CASE WHEN failed THEN '{FETCH_ERROR}' WHEN filled IS NULL THEN '{EMPTY_DETAIL}' ELSE '{EMPTY_FINGERPRINT}' END AS Kategori_Error,
+ CASE WHEN failed THEN 'timeout' WHEN filled IS NULL THEN '{EMPTY_DETAIL_MESSAGE}' ELSE '{EMPTY_FINGERPRINT_MESSAGE}' END AS Pesan_Detail, base_title AS Grup_Pencarian_Awal
+ FROM judged WHERE failed OR filled IS NOT TRUE""",
     "audit_quality": f"""WITH {PAIRS}, suspects AS (SELECT a_id AS dataset_id FROM dups UNION SELECT b_id FROM dups),
  counted AS (SELECT dataset_id, count(*) AS n FROM sentences GROUP BY 1)
  SELECT id AS Dataset_Id, judul AS Judul_Tabel, s.dataset_id IS NOT NULL AS Catalog_Suspect, coalesce(n, 0) AS Total_Rows, cast(0 AS BIGINT) AS Baris_Bermasalah,
@@ -246,7 +292,7 @@ ORACLES: dict[str, str] = {
  FROM cat LEFT JOIN suspects s ON s.dataset_id = id LEFT JOIN counted c ON c.dataset_id = id""",
     "automap": f"WITH {BEST} SELECT * FROM mapping",
     "automap_unmapped": f"""WITH {BEST} SELECT old_id, old_title, best.judul AS best_new_title_found, coalesce(score, 0) AS highest_score
- FROM old LEFT JOIN best USING (x) WHERE coalesce(score, 0) < 75""",
+ FROM old LEFT JOIN best USING (x) WHERE coalesce(score, 0) < 85""",
     "automap_collisions": f"WITH {BEST} SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY new_id) AS n_old FROM mapping) WHERE n_old > 1",
     "json_unpack": f"""WITH {BASE} SELECT dataset_id AS Dataset_Id, 'Data ' || c_name AS Judul_Tabel,
  CASE WHEN c IN (10, 11) OR c > 12 THEN nullif(trunc(try_cast(year_value AS double))::INTEGER, 0) END AS thn, row_no FROM base JOIN customer ON c_custkey = o_custkey""",

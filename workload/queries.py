@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabaudit.functions import similarity, text
 from tabaudit.operators import availability, catalog, cleaning, mapping, payloads, progress, routing, rules, schema
 from tabaudit.plans import audit, migrate
+from tabaudit.session import cut_lineage
 from tabaudit.settings import Settings
 from tabaudit.sources import pages
 from tabaudit.sources.tables import complete_progress, parse_aliases
@@ -18,8 +19,8 @@ from workload import inputs
 
 ALIASES, FUZZY = parse_aliases(inputs.ALIAS_CONFIG)
 TARGET_COLUMNS = ["keterangan", "prioritas", "tahun", "jumlah"]
-SETTINGS = replace(Settings(), max_datasets=10**9)
-PAGE_SETTINGS = replace(SETTINGS, dup_sample_size=8, verify_threshold=95, require_columns=("teks",))
+SETTINGS = replace(Settings(), max_datasets=None)
+DOCUMENT_SETTINGS = replace(SETTINGS, require_columns=("teks",))
 YEARS = [1997, 1998, 1999, 2000, 2001]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,8 +278,8 @@ def token_sort(spark, sf_dir):
 def indel_ratio(spark, sf_dir):
     """Title against every sentence of its page."""
     titles = inputs.page_catalog(spark, sf_dir).select(F.col("id").alias("dataset_id"), "judul")
-    rows = inputs.page_records(spark, sf_dir).join(titles, "dataset_id")
-    return rows.select("dataset_id", "row_no", similarity.indel_ratio(F.col("judul"), F.col("row")["Teks"]).alias("score"))
+    rows = inputs.page_sentences(spark, sf_dir).join(titles, "dataset_id")
+    return rows.select("dataset_id", "row_no", similarity.indel_ratio(F.col("judul"), F.col("teks")).alias("score"))
 
 
 @query
@@ -290,23 +291,23 @@ def token_sort_ratio(spark, sf_dir):
 
 @query
 def title_edges(spark, sf_dir):
-    return catalog.title_edges(inputs.page_catalog(spark, sf_dir), 75)
+    return catalog.title_edges(inputs.document_catalog(spark, sf_dir))
 
 
 @query
 def title_groups(spark, sf_dir):
-    return catalog.title_groups(inputs.page_catalog(spark, sf_dir), 75)
+    return catalog.title_groups(inputs.document_catalog(spark, sf_dir))
 
 
 @query
-def document_title_groups(spark, sf_dir):
-    """Groups over the first lines of all documents, which run to thousands of characters."""
-    return catalog.title_groups(inputs.document_catalog(spark, sf_dir), 92).select("group_ord", "dataset_id", "ord")
+def title_groups_low(spark, sf_dir):
+    """Page titles at a threshold that has no usable join key."""
+    return catalog.title_groups(inputs.page_catalog(spark, sf_dir), 60).select("group_ord", "base_title", "dataset_id")
 
 
 @query
 def sample_rows(spark, sf_dir):
-    sampled = catalog.sample_rows(inputs.page_records(spark, sf_dir), 5)
+    sampled = catalog.sample_rows(inputs.document_records(spark, sf_dir), 5)
     return sampled.select("dataset_id", "row_no", F.md5(F.col("row")["Teks"]).alias("md5"))
 
 
@@ -316,42 +317,41 @@ def row_fingerprint(spark, sf_dir):
     return rows.select("dataset_id", "row_no", catalog.fingerprint(F.col("row")).alias("fingerprint"))
 
 
-def _page_duplicates(spark, sf_dir):
-    return audit.find_duplicates(inputs.page_catalog(spark, sf_dir), inputs.page_records(spark, sf_dir), replace(PAGE_SETTINGS, dup_threshold=75))
+def _duplicates(spark, sf_dir):
+    return audit.find_duplicates(inputs.document_catalog(spark, sf_dir), inputs.document_records(spark, sf_dir), DOCUMENT_SETTINGS)
 
 
 @query
 def pair_similarity(spark, sf_dir):
-    return _page_duplicates(spark, sf_dir)["pairs"].select("group_ord", "a_class", "b_class", F.round("similarity", 6).alias("similarity"))
+    return _duplicates(spark, sf_dir)["pairs"].select("group_ord", "a_class", "b_class", F.round("similarity", 6).alias("similarity"))
 
 
 @query
 def dup_pairs(spark, sf_dir):
-    return _page_duplicates(spark, sf_dir)["duplicates"]
+    return _duplicates(spark, sf_dir)["duplicates"]
 
 
 @query
 def suspect_ids(spark, sf_dir):
-    return _page_duplicates(spark, sf_dir)["suspects"]
+    return _duplicates(spark, sf_dir)["suspects"]
 
 
 @query
 def skipped_report(spark, sf_dir):
-    """Page groups when only the pages without an advertisement block could be read."""
-    groups = catalog.title_groups(inputs.page_catalog(spark, sf_dir), 75)
-    status = inputs.table(spark, sf_dir, "pages").select(
-        F.col("page_id").cast("string").alias("dataset_id"), (~F.contains("url", F.lit("utm_source"))).alias("ok"), F.lit("timeout").alias("message")
+    """Document groups when German documents could not be read and short sentences count as blank."""
+    groups = catalog.title_groups(inputs.document_catalog(spark, sf_dir))
+    status = inputs.table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("dataset_id"), (F.col("lang") != "de").alias("ok"), F.lit("timeout").alias("message")
     )
-    rows = inputs.page_records(spark, sf_dir).where(F.length(F.col("row")["Teks"]) > 60)
-    return catalog.skipped_report(groups, rows, status)
+    rows = inputs.document_records(spark, sf_dir)
+    blanked = F.transform_values("row", lambda k, v: F.when(F.length(v) > 60, v))
+    return catalog.skipped_report(groups, rows.withColumn("row", blanked), status)
 
 
 @query
 def audit_quality(spark, sf_dir):
-    """The whole audit of the web pages, duplicates included."""
-    tables = audit.audit(
-        inputs.page_catalog(spark, sf_dir), inputs.page_records(spark, sf_dir), ALIASES, replace(PAGE_SETTINGS, dup_threshold=75)
-    )
+    """The whole audit of the documents, duplicates included."""
+    tables = audit.audit(inputs.document_catalog(spark, sf_dir), inputs.document_records(spark, sf_dir), ALIASES, DOCUMENT_SETTINGS)
     return tables["quality"]
 
 
@@ -360,7 +360,7 @@ def audit_quality(spark, sf_dir):
 
 def _mapped(spark, sf_dir):
     ready, targets = inputs.page_ready(spark, sf_dir), inputs.document_catalog(spark, sf_dir)
-    return ready, targets, mapping.automap(ready, targets, 75)
+    return ready, targets, cut_lineage(mapping.automap(ready, targets))
 
 
 @query

@@ -23,15 +23,16 @@ def _bucket(text: str, n: str) -> Column:
     return F.pmod(F.xxhash64(text), F.col(n)).cast("int")
 
 
-def _laid_out(left: DataFrame, right: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
-    """Give every string its cells ``(block, l, r)``."""
-    counts = (
-        left.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("n_l"))
-        .join(right.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias("n_r")), "block")
-    )
+def _laid_out(left: DataFrame, right: DataFrame, keys: list[str], cell: int) -> tuple[DataFrame, DataFrame]:
+    """Give every string its cells ``(*keys, l, r)``."""
+
+    def buckets(side: DataFrame, name: str) -> DataFrame:
+        return side.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / cell).cast("int").alias(name))
+
+    counts = buckets(left, "n_l").join(buckets(right, "n_r"), keys)
 
     def cells(side: DataFrame, own: str, other: str) -> DataFrame:
-        placed = side.join(counts, "block").withColumn(own, _bucket("text", f"n_{own}"))
+        placed = side.join(counts, keys).withColumn(own, _bucket("text", f"n_{own}"))
         spread = placed.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
         return spread.select(*[F.col(name).alias(name) for name in [*side.columns, "l", "r"]])
 
@@ -55,28 +56,37 @@ def _bounds(left: list[str], right: list[str]) -> Iterator[np.ndarray]:
         yield 200 * np.minimum(bags, bag(text)).sum(axis=1) / np.maximum(sizes + len(text), 1)
 
 
-def pairs_in_grid(left: DataFrame, right: DataFrame, threshold: int, cell: int = CELL) -> DataFrame:
-    """``(block, a_text, b_text, score)`` for all pairs of ``left(block, text)`` and ``right(block, text)``."""
+def pairs_in_grid(longer: DataFrame, shorter: DataFrame, threshold: int, two_sided: bool, cell: int = CELL) -> DataFrame:
+    """``(block, long_text, long_side, short_text, short_side, score)`` for all pairs at the threshold.
+
+    Both inputs are ``(block, low, side, text)``; strings meet where ``block`` and length band ``low`` agree. Of
+    equally long strings the pair is taken once: by text, or with ``two_sided`` by side.
+    """
+    names = ["block", "long_text", "long_side", "short_text", "short_side", "score"]
 
     def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(a) and len(b):
-            texts = b["text"].tolist()
-            for text, bounds in zip(a["text"], _bounds(a["text"].tolist(), texts)):
+            block, texts, sides = a["block"].iloc[0], b["text"].tolist(), b["side"].tolist()
+            for text, side, bounds in zip(a["text"], a["side"], _bounds(a["text"].tolist(), texts)):
                 for i in np.flatnonzero(bounds + 0.5 >= threshold):
-                    score = ratio(text, texts[i])
-                    if score >= threshold:
-                        found.append((a["block"].iloc[0], text, texts[i], score))
-        return pd.DataFrame(found, columns=["block", "a_text", "b_text", "score"])
+                    gap = len(text) - len(texts[i])
+                    if two_sided:
+                        wanted = side != sides[i] and (gap > 0 or (gap == 0 and sides[i] < side))
+                    else:
+                        wanted = gap > 0 or (gap == 0 and texts[i] < text)
+                    if wanted and (score := ratio(text, texts[i])) >= threshold:
+                        found.append((block, text, side, texts[i], sides[i], score))
+        return pd.DataFrame(found, columns=names)
 
     # A fresh projection: both sides may be the same table.
-    rows, columns = _laid_out(left, right.select(F.col("block").alias("block"), F.col("text").alias("text")), cell)
-    block_type = left.schema["block"].dataType.simpleString()
-    return (
-        rows.groupBy("block", "l", "r")
-        .cogroup(columns.groupBy("block", "l", "r"))
-        .applyInPandas(compare, f"block {block_type}, a_text string, b_text string, score int")
-    )
+    columns = ["block", "low", "side", "text"]
+    fresh = shorter.select(*[F.col(name).alias(name) for name in columns])
+    rows, others = _laid_out(longer.select(*columns), fresh, ["block", "low"], cell)
+    cell_key = ["block", "low", "l", "r"]
+    block_type = longer.schema["block"].dataType.simpleString()
+    schema = f"block {block_type}, long_text string, long_side int, short_text string, short_side int, score int"
+    return rows.groupBy(*cell_key).cogroup(others.groupBy(*cell_key)).applyInPandas(compare, schema)
 
 
 def best_in_grid(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
@@ -102,7 +112,7 @@ def best_in_grid(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFra
                     found.append((text, texts[best], ords[best], best_score))
         return pd.DataFrame(found, columns=["text", "best_text", "ord", "score"])
 
-    rows, columns = _laid_out(left, right, cell)
+    rows, columns = _laid_out(left, right, ["block"], cell)
     per_cell = (
         rows.groupBy("block", "l", "r")
         .cogroup(columns.groupBy("block", "l", "r"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tabaudit.functions.similarity import ratio
 
-CELL = 1000
+CELL = 500
 
 
 def _bucket(text: str, n: str) -> Column:

@@ -85,10 +85,10 @@ def flag_duplicates(audited: DataFrame, subset: Sequence[str], columns: DataFram
     )
     keyed = audited.withColumn("_key", F.to_json(F.array(*[F.col("row")[name] for name in subset])))
     repeated = (
-        keyed.join(complete.select("dataset_id"), "dataset_id", "left_semi")
-        .groupBy("dataset_id", "_key")
+        keyed.groupBy("dataset_id", "_key")
         .agg(F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
+        .join(complete.select("dataset_id"), "dataset_id", "left_semi")
     )
     joined = keyed.join(repeated, ["dataset_id", "_key"], "left")
     return flag_where(joined, F.col("_n").isNotNull(), label).select(*audited.columns)

@@ -17,22 +17,36 @@ from pyspark.sql import types as T
 from tabaudit.functions.text import sort_tokens
 
 
+class Pattern:
+    """A string prepared for many comparisons: bit-parallel longest common subsequence (Hyyro 2004).
+
+    One big-integer step per character of the other string.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.full = (1 << len(text)) - 1
+        self.where: dict[str, int] = {}
+        for i, char in enumerate(text):
+            self.where[char] = self.where.get(char, 0) | (1 << i)
+
+    def lcs_length(self, other: str) -> int:
+        open_bits, full, where = self.full, self.full, self.where
+        for char in other:
+            if char in where:
+                hits = open_bits & where[char]
+                open_bits = ((open_bits + hits) | (open_bits - hits)) & full
+        return len(self.text) - open_bits.bit_count()
+
+    def ratio(self, other: str) -> int:
+        total = len(self.text) + len(other)
+        return 100 if total == 0 else round(200 * self.lcs_length(other) / total)
+
+
 def lcs_length(a: str, b: str) -> int:
-    """Bit-parallel longest common subsequence (Hyyro 2004): one big-integer step per character of ``b``."""
     if a == b:
         return len(a)
-    if len(a) > len(b):
-        a, b = b, a
-    where: dict[str, int] = {}
-    for i, char in enumerate(a):
-        where[char] = where.get(char, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    open_bits = full
-    for char in b:
-        hits = open_bits & where.get(char, 0)
-        if hits:
-            open_bits = ((open_bits + hits) | (open_bits - hits)) & full
-    return len(a) - open_bits.bit_count()
+    return Pattern(a).lcs_length(b) if len(a) < len(b) else Pattern(b).lcs_length(a)
 
 
 def ratio(a: str, b: str) -> int:

@@ -8,13 +8,14 @@ bound every score at array speed, so the exact score is computed for few pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabaudit.functions.similarity import ratio
+from tabaudit.functions.similarity import Pattern
 
 CELL = 500
 
@@ -68,6 +69,7 @@ def pairs_in_grid(longer: DataFrame, shorter: DataFrame, threshold: int, two_sid
         found = []
         if len(a) and len(b):
             block, texts, sides = a["block"].iloc[0], b["text"].tolist(), b["side"].tolist()
+            prepared = lru_cache(maxsize=None)(lambda i: Pattern(texts[i]))
             for text, side, bounds in zip(a["text"], a["side"], _bounds(a["text"].tolist(), texts)):
                 for i in np.flatnonzero(bounds + 0.5 >= threshold):
                     gap = len(text) - len(texts[i])
@@ -75,7 +77,7 @@ def pairs_in_grid(longer: DataFrame, shorter: DataFrame, threshold: int, two_sid
                         wanted = side != sides[i] and (gap > 0 or (gap == 0 and sides[i] < side))
                     else:
                         wanted = gap > 0 or (gap == 0 and texts[i] < text)
-                    if wanted and (score := ratio(text, texts[i])) >= threshold:
+                    if wanted and (score := prepared(i).ratio(text)) >= threshold:
                         found.append((block, text, side, texts[i], sides[i], score))
         return pd.DataFrame(found, columns=names)
 
@@ -100,12 +102,13 @@ def best_in_grid(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFra
         if len(a) and len(b):
             b = b.sort_values("ord", kind="stable")
             texts, ords = b["text"].tolist(), b["ord"].tolist()
+            prepared = lru_cache(maxsize=None)(lambda i: Pattern(texts[i]))
             for text, bounds in zip(a["text"], _bounds(a["text"].tolist(), texts)):
                 best, best_score = -1, 0
                 for i in np.argsort(-bounds, kind="stable"):
                     if bounds[i] + 0.5 < best_score:
                         break
-                    score = ratio(text, texts[i])
+                    score = prepared(i).ratio(text)
                     if score > best_score or (score == best_score and 0 <= i < best):
                         best, best_score = int(i), score
                 if best >= 0:

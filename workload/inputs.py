@@ -108,10 +108,10 @@ def page_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("trim(teks) <> ''").select("dataset_id", F.col("pos").cast("long").alias("row_no"), F.trim("teks").alias("teks"))
 
 
-def document_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``catalog(ord, id, judul)``: documents by their first sentence; copies and near copies occur."""
+def document_catalog(spark: SparkSession, sf_dir: str, end: str = SENTENCE_END) -> DataFrame:
+    """``catalog(ord, id, judul)``: documents by their first sentence (or line); copies and near copies occur."""
     return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("id"), F.element_at(F.split("text", SENTENCE_END), 1).alias("judul")
+        F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("id"), F.element_at(F.split("text", end), 1).alias("judul")
     )
 
 

@@ -305,6 +305,13 @@ def title_groups_low(spark, sf_dir):
     return catalog.title_groups(inputs.page_catalog(spark, sf_dir), 60).select("group_ord", "base_title", "dataset_id")
 
 
+@query
+def document_title_groups(spark, sf_dir):
+    """Groups over the first lines of all documents, which run to thousands of characters."""
+    lines = inputs.document_catalog(spark, sf_dir, "\n")
+    return catalog.title_groups(lines, 92).select("group_ord", "dataset_id", "ord")
+
+
 @query
 def sample_rows(spark, sf_dir):
     sampled = catalog.sample_rows(inputs.document_records(spark, sf_dir), 5)

@@ -1,8 +1,9 @@
-"""Session helpers: local session for tests, lineage cuts, and size-checked broadcast."""
+"""Session helpers: local session for tests, lineage cuts, and tables in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +31,7 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
+    elif context.master.startswith("local") and not context.master.startswith("local-cluster"):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tabaudit-ckpt-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
@@ -40,3 +41,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``; the table is compressed, is read by column, and the optimiser knows its size.
+    """
+    _ensure_checkpoint_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

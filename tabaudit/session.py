@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -32,7 +34,9 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared:
         context.setCheckpointDir(shared)
     elif context.master.startswith("local") and not context.master.startswith("local-cluster"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tabaudit-ckpt-"))
+        own = tempfile.mkdtemp(prefix="tabaudit-ckpt-")  # one machine: the folder is shared by all there is
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
     else:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 

@@ -21,9 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tabaudit.llm.common import require, text_of, word_count
+from tabaudit.operators.ranking import numbered
 from tabaudit.session import written
 
 #: Documents, or leftovers, that are paired in one task at a time.
@@ -31,15 +31,6 @@ GROUP = 4096
 UNIT = ["doc_id", "source", "size"]
 
 
-def numbered(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """``df`` with its rank from 0 in ``order``: sorted ranges, and the number of rows in the ranges before."""
-    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranges = written(ranges.withColumn("_range", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
-    sizes = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))  # a line for each task
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranges.join(sizes.select("_range", before.alias("_before")), "_range").withColumn(name, F.col("_before") + F.col("_at")).drop("_range", "_at", "_before")
-
-
 def repeating(weights: list[float]) -> Column:
     """The weight of a source by its rank."""
     return F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))

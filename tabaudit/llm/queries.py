@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabaudit.llm import exact_dedup, mixing, ngram_join, packing, quality
+from tabaudit.llm import exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, quality_rules, sharding, token_counts
+from tabaudit.llm.common import text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The mix of the queries: weights by the rank of the source, and the part of all words that is taken.
 MIX_WEIGHTS, MIX_SHARE, MIX_MOST = [3, 1, 2], 1.5, 2
+SHARDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
@@ -41,12 +47,35 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op6_shard_uniformly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = text_of()
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = sharding.sharded(docs, SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = exact_dedup.exact_groups(docs, earlier(docs))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_mix_sources, op3_pack_sequences, op4_quality_classifier, op5_ngram_join, op8_exact_dedup)
-}
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_language_id, op3_pack_sequences, op4_quality_classifier, op5_ngram_join,
+        op6_shard_uniformly, op7_personal_data, op8_exact_dedup, op9_token_counts, op10_quality_rules,
+    )
+}

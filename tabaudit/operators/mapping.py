@@ -36,8 +36,10 @@ def best_above(old: DataFrame, targets: DataFrame, threshold: int) -> DataFrame:
     scored = similar_pairs(strings, threshold, two_sided=True).select(
         F.col("a_text").alias("old_tokens"), F.col("b_text").alias("tokens"), "score"
     )
+    # Titles without tokens are equal to each other, and similar to nothing else.
+    empty = old.where("tokens = ''").select(F.col("tokens").alias("old_tokens"), "tokens", F.lit(100).cast(scored.schema["score"].dataType).alias("score")).distinct()
     return (
-        scored.join(targets, "tokens")
+        scored.unionByName(empty).join(targets, "tokens")
         .groupBy(F.col("old_tokens").alias("tokens"))
         .agg(F.max_by(F.struct("target", "score"), F.struct(F.col("score"), -F.col("target.ord"))).alias("best"))
         .select("tokens", F.col("best.target").alias("target"), F.col("best.score").alias("score"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabaudit.functions.text import parse_year
+from tabaudit.operators.ranking import numbered
 from tabaudit.operators.schema import apply_plan
 
 YEAR = "tahun"
@@ -15,14 +16,31 @@ DONE, PARTIAL, FAILED = "done", "partial", "failed"
 def unpack_rows(ready: DataFrame) -> DataFrame:
     """``(dataset_id, row_no, row)`` from ready rows; ``row`` is NULL where the document cannot be read.
 
-    Ready rows carry ``row_no``; for files without it, see :func:`tabaudit.sources.ready.read_ready`.
+    Ready rows carry ``row_no``; for files without it, see :func:`tabaudit.sources.tables.read_ready_csv`.
     """
     row = F.from_json("Row_Data_JSON", "map<string,string>")
-    # The JSON reader hands a bare NaN over with quotes around it; it means "no value".
-    row = F.transform_values(row, lambda k, v: F.when(~v.isin('"NaN"', "NaN"), v))
+    # The JSON reader hands a bare NaN over with quotes around it; it means "no value". The text NaN is data.
+    row = F.transform_values(row, lambda k, v: F.when(v != '"NaN"', v))
     return ready.select(F.col("Dataset_Id").alias("dataset_id"), "row_no", row.alias("row"))
 
 
+# A whole string, or a bare NaN outside of strings.
+STRING_OR_NAN = r'("(?:[^"\\]|\\.)*+")|\bNaN\b'
+
+
+def _without_bare_nan(text: Column) -> Column:
+    """JSON text with ``null`` for each bare NaN. JSON allows no raw U+0001, so it can mark what was matched."""
+    marked = F.regexp_replace(text, STRING_OR_NAN, "$1\u0001")
+    return F.replace(F.replace(marked, F.lit('"\u0001'), F.lit('"')), F.lit("\u0001"), F.lit("null"))
+
+
+def unpack_typed(ready: DataFrame) -> DataFrame:
+    """Like :func:`unpack_rows` with every value as a VARIANT: numbers, booleans and nested values keep type and value."""
+    text = F.col("Row_Data_JSON")
+    text = F.when(F.contains(text, F.lit("NaN")), _without_bare_nan(text)).otherwise(text)
+    return ready.select(F.col("Dataset_Id").alias("dataset_id"), "row_no", F.from_json(text, "map<string,variant>").alias("row"))
+
+
 def latest_mapping(mapping: DataFrame) -> DataFrame:
     """One target per old id; of several mapped titles the one that comes last in the ready rows counts."""
     order = [F.col(name) for name in ("file_order", "old_title", "new_id") if name in mapping.columns]
@@ -31,10 +49,10 @@ def latest_mapping(mapping: DataFrame) -> DataFrame:
 
 def classify_rows(ready: DataFrame, mapping: DataFrame, rename_plan: DataFrame | None = None) -> DataFrame:
     """Every ready row with its target, year and, if it cannot be delivered, the reason."""
-    rows = unpack_rows(ready)
+    rows = unpack_typed(ready)
     if rename_plan is not None:
         rows = apply_plan(rows, rename_plan)
-    year_text = F.col("row")[YEAR]
+    year_text = F.try_variant_get(F.col("row")[YEAR], "$", "string")
     joined = rows.join(latest_mapping(mapping), "dataset_id", "left").withColumn("tahun_data", parse_year(year_text))
     reason = (
         F.when(F.col("target_id").isNull(), "unmapped_dataset")
@@ -69,24 +87,32 @@ def payload_groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def payload_documents(rows: DataFrame, max_rows: int = 10_000) -> DataFrame:
+PAYLOAD = ["target_id", "old_id", "tahun_data"]
+
+
+def payload_documents(rows: DataFrame, rows_per_document: int | None) -> DataFrame:
     """Payloads as documents: ``target_id, old_id, chunk, body(tahun_data, data)`` with records in file order.
 
-    A payload of up to ``max_rows`` rows is one document. A larger one is split by row number into chunks of at
-    most ``max_rows`` rows, so no document and no task grows with the size of a dataset.
+    The rows of a payload are counted in file order and cut every ``rows_per_document`` rows, whatever its size; gaps in
+    ``row_no`` don't matter. With None each payload is one document, so its size has no bound then.
     """
-    sizes = payload_groups(rows).select("target_id", "old_id", "tahun_data", (F.col("n_rows") > max_rows).alias("large"))
-    placed = rows.join(sizes, ["target_id", "old_id", "tahun_data"]).withColumn(
-        "chunk", F.when(F.col("large"), F.floor(F.col("row_no") / max_rows)).otherwise(F.lit(0).cast("long"))
-    )
+    if rows_per_document is None:
+        placed = rows.withColumn("chunk", F.lit(0).cast("long"))
+    else:
+        ranked = numbered(rows, "_rank", *PAYLOAD, "row_no")
+        first = ranked.groupBy(*PAYLOAD).agg(F.min("_rank").alias("_first"))
+        placed = ranked.join(first, PAYLOAD).withColumn("chunk", F.floor((F.col("_rank") - F.col("_first")) / rows_per_document)).drop("_rank", "_first")
     record = F.struct("row_no", F.to_json("record").alias("json"))
     gathered = placed.groupBy("target_id", "old_id", "tahun_data", "chunk").agg(F.sort_array(F.collect_list(record)).alias("rows"))
-    data = F.transform("rows", lambda r: F.from_json(r["json"], "map<string,string>"))
+    data = F.transform("rows", lambda r: F.from_json(r["json"], "map<string,variant>"))
     return gathered.select("target_id", "old_id", "chunk", F.struct("tahun_data", data.alias("data")).alias("body"))
 
 
 def outcome_fold(outcomes: DataFrame) -> DataFrame:
-    """Delivery outcomes ``(target_id, old_id, tahun_data, ok, n_rows)`` to one status per target."""
+    """Delivery outcomes ``(target_id, old_id, tahun_data, chunk, ok, n_rows)`` to one status per target.
+
+    Each document has an outcome of its own, so a payload of which one chunk failed is ``partial``.
+    """
     won, lost = F.count_if("ok"), F.count_if(~F.col("ok"))
     return outcomes.groupBy("target_id").agg(
         F.min("old_id").alias("old_id"),
@@ -98,10 +124,11 @@ def outcome_fold(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def failed_payloads(payloads: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """The payloads whose delivery failed."""
-    keys = ["target_id", "old_id", "tahun_data"]
-    return payloads.join(outcomes.where(~F.col("ok")).select(*keys).distinct(), keys, "left_semi")
+def failed_payloads(documents: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``target_id, old_id, tahun_data, chunk, body`` of the documents whose delivery failed: all that a resend needs."""
+    keys = [*PAYLOAD, "chunk"]
+    sent = documents.select("target_id", "old_id", F.col("body.tahun_data").alias("tahun_data"), "chunk", "body")
+    return sent.join(outcomes.where(~F.col("ok")).select(*keys).distinct(), keys, "left_semi").select(*keys, "body")
 
 
 def batch_totals(fold: DataFrame, batch_number: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabaudit.operators.ranking import numbered
 from tabaudit.operators.rules import FLAGGED
 
 READY_FOR_LOAD, REVIEW, SKIPPED = "ready_for_load", "manager_review_required", "skipped"
@@ -35,16 +36,11 @@ def gate_summary(audited: DataFrame, statuses: Iterable[str] | None = None) -> D
     return audited.agg(total.alias("total_rows"), loadable.alias("loadable_rows"), (total - loadable).alias("blocked_rows"))
 
 
-# A larger budget than this is compared with the size of the catalog first: the top-k operator reserves room for
-# the whole limit in every task.
-DIRECT_LIMIT = 100_000
-
-
 def catalog_head(catalog: DataFrame, max_datasets: int | None) -> DataFrame:
     """First datasets in catalog order: the assessment budget of a run; None means all."""
-    if max_datasets is None or (max_datasets > DIRECT_LIMIT and catalog.count() <= max_datasets):
+    if max_datasets is None:
         return catalog
-    return catalog.orderBy("ord").limit(max_datasets)
+    return numbered(catalog, "_rank", "ord").where(F.col("_rank") < max_datasets).drop("_rank")
 
 
 def quality_report(

@@ -27,31 +27,39 @@ def plan_batch(
     aliases: dict[str, str],
     settings: Settings = Settings(),
     fuzzy_threshold: int = 80,
+    rows_per_document: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Mapping to the targets that are still open, and the payloads for them."""
+    """Mapping to the targets that are still open, and the payloads for them.
+
+    Where nothing is left to do, because no target remains or there are no ready rows, the mapping isn't searched: the
+    result has the remaining targets only.
+    """
+    remaining = progress.remaining_catalog(catalog, log)
+    if remaining.isEmpty() or ready.isEmpty():
+        return {"remaining": remaining}
     done = progress.done_ids(log)
     mapping = cut_lineage(maps.automap(ready, catalog, settings.dup_threshold, done))
     plan = key_plan(ready, aliases, fuzzy_threshold)
     classified = pay.classify_rows(ready, mapping, plan)
     rows = pay.payload_rows(classified)
     return {
-        "remaining": progress.remaining_catalog(catalog, log),
+        "remaining": remaining,
         "mapping": mapping,
         "unmapped": maps.automap_unmapped(ready, catalog, mapping, done),
         "collisions": maps.collisions(mapping),
         "renames": schema.rename_report(plan),
-        "payloads": pay.payload_documents(rows),
+        "payloads": pay.payload_documents(rows, rows_per_document),
         "payload_groups": pay.payload_groups(rows),
         "rejects": pay.payload_rejects(classified),
     }
 
 
-def fold_batch(outcomes: DataFrame, payload_groups: DataFrame, catalog: DataFrame, batch_number: int) -> dict[str, DataFrame]:
-    """Statuses, log lines, failed payloads and totals of a delivered batch."""
+def fold_batch(outcomes: DataFrame, documents: DataFrame, catalog: DataFrame, batch_number: int) -> dict[str, DataFrame]:
+    """Statuses, log lines, failed payloads and totals of a delivered batch. ``documents`` are the payloads that were sent."""
     fold = pay.outcome_fold(outcomes)
     return {
         "status": fold,
         "progress": progress.progress_lines(fold, catalog, batch_number),
-        "failed": pay.failed_payloads(payload_groups, outcomes),
+        "failed": pay.failed_payloads(documents, outcomes),
         "totals": pay.batch_totals(fold, batch_number),
     }

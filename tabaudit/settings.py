@@ -17,8 +17,8 @@ INT_RANGES = {
 
 @dataclass(frozen=True)
 class Settings:
-    max_pages: int = 1
-    max_datasets: int | None = 5
+    max_pages: int | None = None
+    max_datasets: int | None = None
     dup_threshold: int = 85
     dup_sample_size: int = 5
     verify_threshold: int = 98

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabaudit.session import written
+
 PAGE_SCHEMA = "_meta struct<pageCount:string>, data array<string>"
 ROW_SHIFT = 32
 
@@ -34,37 +36,49 @@ def page_count(text: Column) -> Column:
     return F.when(number > 0, number).otherwise(1)
 
 
-def page_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
-    """``(dataset_id, last_page, bad_page)``: the last page to read, and the first unusable one up to there.
+def parsed_pages(pages: DataFrame) -> DataFrame:
+    """``(dataset_id, page, n_pages, readable, items)``: every body parsed once, and the result written.
 
-    The page count of the first page decides how many pages there are.
+    ``n_pages`` is the page count of a first page and NULL elsewhere. Pages are counted and read from the written table, so
+    neither repeats the parsing, and no body goes through a join.
     """
     body = F.from_json("body", PAGE_SCHEMA)
-    readable = F.col("ok") & body.isNotNull() & F.startswith(F.ltrim("body"), F.lit("{"))
-    parsed = pages.select("dataset_id", "page", body["_meta"]["pageCount"].alias("count"), readable.alias("readable"))
-    status = parsed.groupBy("dataset_id").agg(
-        F.max(F.when(F.col("page") == 1, page_count(F.col("count")))).alias("n_pages"),
-        F.min(F.when(~F.coalesce("readable", F.lit(False)), F.col("page"))).alias("bad_page"),
+    readable = F.coalesce(F.col("ok") & F.col("doc").isNotNull() & F.startswith(F.ltrim("body"), F.lit("{")), F.lit(False))
+    parsed = pages.withColumn("doc", body).select(
+        "dataset_id", "page", F.when(F.col("page") == 1, page_count(F.col("doc._meta.pageCount"))).alias("n_pages"), readable.alias("readable"), F.col("doc.data").alias("items")
     )
+    return written(parsed)
+
+
+def _status(parsed: DataFrame, max_pages: int | None) -> DataFrame:
+    status = parsed.groupBy("dataset_id").agg(F.max("n_pages").alias("n_pages"), F.min(F.when(~F.col("readable"), F.col("page"))).alias("bad_page"))
     last = F.coalesce("n_pages", F.lit(1))
     if max_pages is not None:
         last = F.least(last, F.lit(max_pages))
     return status.select("dataset_id", last.alias("last_page"), F.when(F.col("bad_page") <= last, F.col("bad_page")).alias("bad_page"))
 
 
+def page_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """``(dataset_id, last_page, bad_page)``: the last page to read, and the first unusable one up to there.
+
+    The page count of the first page decides how many pages there are.
+    """
+    return _status(parsed_pages(pages), max_pages)
+
+
 def page_items(pages: DataFrame, max_pages: int | None = None, fail_fast: bool = True) -> DataFrame:
     """``(dataset_id, page, pos, item)``: the raw JSON text of every element of ``data``, in order.
 
     On an unusable page the job fails, or with ``fail_fast=False`` the pages before it are kept.
     """
-    status = page_status(pages, max_pages)
-    joined = pages.join(status, "dataset_id").where(F.col("page") <= F.col("last_page"))
+    parsed = parsed_pages(pages)
+    joined = parsed.join(_status(parsed, max_pages), "dataset_id").where(F.col("page") <= F.col("last_page"))
     if fail_fast:
         message = F.concat(F.lit("unusable page "), F.col("bad_page").cast("string"), F.lit(" of dataset "), "dataset_id")
         joined = joined.where(F.when(F.col("bad_page").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
     else:
         joined = joined.where(F.col("bad_page").isNull() | (F.col("page") < F.col("bad_page")))
-    return joined.select("dataset_id", "page", F.posexplode(F.from_json("body", PAGE_SCHEMA)["data"]).alias("pos", "item"))
+    return joined.select("dataset_id", "page", F.posexplode("items").alias("pos", "item"))
 
 
 def _objects(items: DataFrame) -> DataFrame:

@@ -20,13 +20,16 @@ def check_ready(ready: DataFrame) -> DataFrame:
     return ready
 
 
-def read_ready_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_ready_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """Ready rows from CSV with quoted JSON; every column stays text.
 
+    Large files are read by many tasks. Cells with line breaks need ``line_breaks``, and then a file is read by one task;
+    ready rows of any size belong in Parquet.
+
     Rows of a plain CSV file have no number. Where the export wrote ``row_no`` it is used; otherwise rows are
     numbered by their position, which :func:`monotonically_increasing_id` keeps within each file.
     """
-    ready = check_ready(spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True))
+    ready = check_ready(spark.read.csv(path, header=True, quote='"', escape='"', multiLine=line_breaks))
     if "row_no" in ready.columns:
         return ready.withColumn("row_no", F.col("row_no").cast("long"))
     return ready.withColumn("row_no", F.monotonically_increasing_id())

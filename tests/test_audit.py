@@ -192,5 +192,5 @@ def test_audit_end_to_end(spark):
 
 def test_settings_fall_back():
     found = Settings.from_mapping({"dup_threshold": "150", "year_min": "1990", "max_pages": "x", "require_columns": " Tahun , Jumlah", "allowed_load_statuses": " , "})
-    assert (found.dup_threshold, found.year_min, found.max_pages) == (85, 1990, 1)
+    assert (found.dup_threshold, found.year_min, found.max_pages) == (85, 1990, None)
     assert found.require_columns == ("tahun", "jumlah") and found.allowed_load_statuses == ("ready",)

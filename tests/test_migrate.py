@@ -106,15 +106,86 @@ def test_payloads(spark):
     )
     targets = spark.createDataFrame([("A1", "10")], "old_id string, new_id string")
     classified = payloads.classify_rows(ready, targets)
-    documents = payloads.payload_documents(payloads.payload_rows(classified)).collect()
-    got = {(r.target_id, r.body.tahun_data): r.body.data for r in documents}
-    assert got == {("10", 2021): [{"n": "1"}, {"n": "2"}], ("10", 2022): [{"n": "3"}]}
+    documents = payloads.payload_documents(payloads.payload_rows(classified), None).collect()
+    got = {(r.target_id, r.body.tahun_data): [{k: v.toPython() for k, v in d.items()} for d in r.body.data] for r in documents}
+    assert got == {("10", 2021): [{"n": 1}, {"n": 2}], ("10", 2022): [{"n": 3}]}
     rejects = {r.row_no: r.reject_reason for r in payloads.payload_rejects(classified).collect()}
     assert rejects == {3: "missing_year", 4: "invalid_year", 5: "invalid_year", 6: "missing_year", 7: "invalid_json", 8: "unmapped_dataset", 9: "invalid_year", 10: "invalid_year"}
-    chunks = payloads.payload_documents(payloads.payload_rows(classified), max_rows=1).collect()
+    chunks = payloads.payload_documents(payloads.payload_rows(classified), 1).collect()
     assert sorted(len(r.body.data) for r in chunks) == [1, 1, 1]
 
 
+def test_payloads_are_cut_by_position(spark):
+    """Paged row numbers have large gaps; only the position in the payload decides the cut."""
+    rows = [(f"{k % 2}", "a", 2021, ((k // 7) << 32) + k % 7, {"n": str(k)}) for k in range(50)]
+    frame = spark.createDataFrame(rows, "target_id string, old_id string, tahun_data int, row_no long, record map<string,string>").repartition(5)
+    found = {(r.target_id, r.chunk): [d["n"].toPython() for d in r.body.data] for r in payloads.payload_documents(frame, 10).collect()}
+    for target in "01":
+        own = [n for t, _, _, _, record in sorted(rows, key=lambda r: r[3]) for n in [record["n"]] if t == target]
+        assert [found[(target, chunk)] for chunk in range(3)] == [own[:10], own[10:20], own[20:]]
+    assert len(found) == 6
+
+
+def test_one_chunk_fails_alone(spark):
+    rows = [("10", "a", 2021, k, {"n": str(k)}) for k in range(5)]
+    frame = spark.createDataFrame(rows, "target_id string, old_id string, tahun_data int, row_no long, record map<string,string>")
+    documents = payloads.payload_documents(frame, 2)
+    outcomes = documents.select("target_id", "old_id", F.col("body.tahun_data").alias("tahun_data"), "chunk", (F.col("chunk") != 1).alias("ok"), F.size("body.data").alias("n_rows"))
+    assert [(r.status, r.rows_sent, r.n_failed) for r in payloads.outcome_fold(outcomes).collect()] == [("partial", 3, 1)]
+    failed = payloads.failed_payloads(documents, outcomes).collect()
+    assert [(r.chunk, [d["n"].toPython() for d in r.body.data]) for r in failed] == [(1, ["2", "3"])]
+
+
+def test_payload_values_keep_their_types(spark):
+    text = '{"tahun":2021,"n":100.50,"big":12345678901234567890.10,"b":true,"o":{"k":1},"s":"NaN","z":null,"q":"say \\"NaN\\", NaN","x":NaN}'
+    ready = spark.createDataFrame([("A", "t", text, 1)], "Dataset_Id string, Judul_Tabel string, Row_Data_JSON string, row_no long")
+    targets = spark.createDataFrame([("A", "10")], "old_id string, new_id string")
+    documents = payloads.payload_documents(payloads.payload_rows(payloads.classify_rows(ready, targets)), None)
+    body = documents.select(F.to_json("body")).first()[0]
+    assert '"n":100.5,' in body and '"big":12345678901234567890.1,' in body
+    assert json.loads(body)["data"] == [{"n": 100.5, "big": 12345678901234567890.10, "b": True, "o": {"k": 1}, "s": "NaN", "z": None, "q": 'say "NaN", NaN', "x": None}]
+
+
+def test_text_nan_is_data(spark):
+    ready = spark.createDataFrame([("a", 1, '{"x": NaN, "y": "NaN"}')], "Dataset_Id string, row_no long, Row_Data_JSON string")
+    assert payloads.unpack_rows(ready).first().row == {"x": None, "y": "NaN"}
+
+
+def test_titles_without_tokens_map_to_each_other(spark):
+    ready = ready_of(spark, ("A", "---", {"tahun": 1}), ("B", "Ikan", {"tahun": 1}))
+    found = mapping.automap(ready, targets_of(spark, ("10", "..."), ("20", "Padi")))
+    assert [(r.old_id, r.new_id, r.match_score) for r in found.collect()] == [("A", "10", 100)]
+    rest = mapping.automap_unmapped(ready, targets_of(spark, ("10", "..."), ("20", "Padi")), found).collect()
+    assert [r.old_id for r in rest] == ["B"]
+
+
+def test_sinks(spark, tmp_path):
+    routed = spark.createDataFrame([("a", "ready_for_load"), ("b", "manager_review_required"), ("c", "ready_for_load")], "Dataset_Id string, Load_Decision string")
+    reports.write_routed(routed, str(tmp_path / "routed"))
+    back = spark.read.parquet(str(tmp_path / "routed"))
+    assert {r.Dataset_Id for r in back.where("Load_Decision = 'ready_for_load'").collect()} == {"a", "c"}
+    none = routed.where("false")
+    assert reports.write_reports({"routed": routed, "none": none}, str(tmp_path / "reports"), ("none",)) == ["routed"]
+    rows = spark.createDataFrame([("10", "a", 2021, 0, {"n": "1"}), ("10", "a", 2022, 1, {"n": "2"})], "target_id string, old_id string, tahun_data int, row_no long, record map<string,string>")
+    documents = payloads.payload_documents(rows, 100)
+    reports.write_payloads(documents, str(tmp_path / "payloads"))
+    sent = spark.read.json(str(tmp_path / "payloads")).collect()
+    assert sorted((r.target_id, r.body.tahun_data, r.body.data[0].n) for r in sent) == [("10", 2021, "1"), ("10", 2022, "2")]
+    outcomes = spark.createDataFrame([("10", "a", 2021, 0, False, 1), ("10", "a", 2022, 0, True, 1)], "target_id string, old_id string, tahun_data int, chunk long, ok boolean, n_rows long")
+    failed = payloads.failed_payloads(documents, outcomes)
+    assert reports.write_failed(failed, str(tmp_path / "failed"), 3) and not reports.write_failed(failed.where("false"), str(tmp_path / "failed"), 4)
+    again = spark.read.json(str(tmp_path / "failed")).collect()
+    assert [(r.batch_number, r.body.tahun_data) for r in again] == [(3, 2021)]
+
+
+def test_nothing_left_to_do(spark):
+    ready, targets = ready_of(spark, ("A", "Data Padi", {"thn": "2021"})), targets_of(spark, ("10", "Padi Data"))
+    log = tables.complete_progress(log_of(spark, ("10", "done", 5, 1)))
+    assert list(plan_batch(ready, targets, log, ALIASES)) == ["remaining"]
+    assert list(plan_batch(ready, targets.where("false"), log, ALIASES)) == ["remaining"]
+    assert list(plan_batch(ready.where("false"), targets, log.where("false"), ALIASES)) == ["remaining"]
+
+
 def test_progress(spark, tmp_path):
     log = log_of(spark, ("1", "failed", 0, 1), ("1", "done", 80, 1), ("2", "failed", 0, 1), ("3", "done", 50, 1), ("4", "partial", 20, 1))
     assert {r.new_id for r in progress.done_ids(log).collect()} == {"1", "3"}
@@ -138,8 +209,8 @@ def test_batch_resumes(spark):
     empty = spark.createDataFrame([], progress.PROGRESS_SCHEMA)
     batch = plan_batch(ready, targets, empty, ALIASES)
     assert {(r.target_id, r.body.tahun_data) for r in batch["payloads"].collect()} == {("10", 2021), ("10", 2022), ("20", 2021)}
-    sent = batch["payload_groups"].select("target_id", "old_id", "tahun_data", (F.col("tahun_data") == 2021).alias("ok"), "n_rows")
-    folded = fold_batch(sent, batch["payload_groups"], targets, 1)
+    sent = batch["payload_groups"].select("target_id", "old_id", "tahun_data", F.lit(0).alias("chunk"), (F.col("tahun_data") == 2021).alias("ok"), "n_rows")
+    folded = fold_batch(sent, batch["payloads"], targets, 1)
     assert {r.new_id: (r.status, r.rows_sent) for r in folded["progress"].collect()} == {"10": ("partial", 1), "20": ("done", 1)}
     assert [(r.target_id, r.tahun_data) for r in folded["failed"].collect()] == [("10", 2022)]
     again = plan_batch(ready, targets, tables.complete_progress(folded["progress"]), ALIASES)

@@ -144,8 +144,8 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.lit("catalog").alias("dataset_id"), "page", body.alias("body"), F.lit(True).alias("ok"))
 
 
-def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation served as a dataset with one turn per page; some pages are unusable."""
+def conversation_pages(spark: SparkSession, sf_dir: str, unusable: str = "length(text) % 17 = 0") -> DataFrame:
+    """Every conversation served as a dataset with one turn per page; the pages named by ``unusable`` can't be read."""
     turns = table(spark, sf_dir, "conversations")
     counts = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
     body = F.to_json(
@@ -154,12 +154,12 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(F.struct("role", "text", F.col("turn").cast("string").alias("turn"))).alias("data"),
         )
     )
-    bad = F.expr("length(text) % 17 = 0")
+    bad = F.expr(unusable)
     return turns.join(counts, "conv_id").select(
         F.col("conv_id").cast("string").alias("dataset_id"),
         (F.col("turn") + 1).cast("int").alias("page"),
         F.when(bad, F.lit("<html>busy</html>")).otherwise(body).alias("body"),
-        (~F.expr("length(text) % 34 = 0")).alias("ok"),
+        (~(bad & F.expr("length(text) % 34 = 0"))).alias("ok"),
     )
 
 
@@ -174,11 +174,30 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(user_id * 31 + day(ts) AS string) AS target_id",
         "cast(user_id AS string) AS old_id",
         "event_id AS tahun_data",
+        "event_id % 3 AS chunk",
         "event_type <> 'error' AS ok",
         "cast(get_json_object(props, '$.k') AS bigint) AS n_rows",
     )
 
 
+def sent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the outcomes as they were sent."""
+    data = F.array(F.create_map(F.lit("props"), F.col("props")))
+    return table(spark, sf_dir, "events").select(
+        F.expr("cast(user_id * 31 + day(ts) AS string)").alias("target_id"), F.expr("cast(user_id AS string)").alias("old_id"), F.expr("event_id % 3").alias("chunk"),
+        F.struct(F.col("event_id").alias("tahun_data"), data.alias("data")).alias("body"),
+    )
+
+
+def target_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suppliers as the one page of the target catalog, and a second page that nobody asked for."""
+    entry = F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("judul")))
+    entries = table(spark, sf_dir, "supplier").agg(F.sort_array(F.collect_list(F.struct("s_suppkey", entry.alias("entry")))).alias("entries"))
+    body = F.concat(F.lit('{"_meta":{"pageCount":2},"data":['), F.array_join(F.col("entries.entry"), ","), F.lit("]}"))
+    page = entries.select(F.lit("target").alias("dataset_id"), F.lit(1).alias("page"), body.alias("body"), F.lit(True).alias("ok"))
+    return page.unionByName(page.withColumn("page", F.lit(2)))
+
+
 def progress_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress lines: one per event, the day being the batch."""
     return table(spark, sf_dir, "events").selectExpr(

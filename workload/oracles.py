@@ -192,7 +192,7 @@ CLASSIFIED = CLASSIFIED.replace("CASE WHEN c_custkey IS NULL", "CASE WHEN mapped
 LATEST = """latest AS (SELECT cast(user_id AS string) AS new_id, CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'partial' ELSE 'done' END AS status,
  cast(json_extract_string(props, '$.k') AS BIGINT) AS rows_sent, cast(day(ts) AS INTEGER) AS batch_number FROM events
  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY day(ts) DESC, event_id DESC) = 1)"""
-OUTCOMES = """outcomes AS (SELECT cast(user_id * 31 + day(ts) AS string) AS target_id, cast(user_id AS string) AS old_id, event_id AS tahun_data,
+OUTCOMES = """outcomes AS (SELECT cast(user_id * 31 + day(ts) AS string) AS target_id, cast(user_id AS string) AS old_id, event_id AS tahun_data, event_id % 3 AS chunk, props,
  event_type <> 'error' AS ok, cast(json_extract_string(props, '$.k') AS BIGINT) AS n_rows FROM events)"""
 FOLD = f"""{OUTCOMES}, fold AS (SELECT target_id, min(old_id) AS old_id, count(DISTINCT old_id) > 1 AS collision,
  CASE WHEN bool_and(ok) THEN 'done' WHEN NOT bool_or(ok) THEN 'failed' ELSE 'partial' END AS status, count(*) FILTER (WHERE ok) AS n_ok,
@@ -205,9 +205,10 @@ _STATUS_OF = "SELECT dataset_id, row_no, CASE WHEN {0} THEN 'flagged' ELSE 'pend
 
 ORACLES: dict[str, str] = {
     "page_scan": "SELECT cast(c_custkey // 100 + 1 AS INTEGER) AS page, cast(c_custkey AS string) AS id, c_name AS judul, c_mktsegment AS segmen FROM customer",
-    "detail_scan": f"WITH {TURNS} SELECT cast(conv_id AS string) AS dataset_id, cast(turn AS string) AS turn, role, md5(text) AS text_md5 FROM turns WHERE bad IS NULL",
+    "detail_scan": f"WITH {TURNS} SELECT cast(conv_id AS string) AS dataset_id, cast(turn AS string) AS turn, role, md5(text) AS text_md5 FROM turns",
     "prefix_until_bad_page": f"""WITH {TURNS} SELECT cast(conv_id AS string) AS dataset_id, count(*) AS n_rows, cast(max(turn) AS INTEGER) AS last_turn
  FROM turns WHERE bad IS NULL OR turn < bad GROUP BY 1""",
+    "target_catalog_scan": "SELECT 4294967296 + row_number() OVER (ORDER BY s_suppkey) - 1 AS ord, cast(s_suppkey AS string) AS id, s_name AS judul FROM supplier",
     "keyword_filter": f"""SELECT page_id AS ord, cast(page_id AS string) AS id, regexp_extract(html, '{inputs.TITLE}', 1) AS judul FROM pages
  WHERE lower(regexp_extract(html, '{inputs.TITLE}', 1)) LIKE '%the%' OR lower(regexp_extract(html, '{inputs.TITLE}', 1)) LIKE '%aux%'""",
     "catalog_head": "SELECT c_custkey AS ord, 'ds_' || c_custkey AS id, 'Data ' || c_name AS judul FROM customer ORDER BY c_custkey LIMIT 100",
@@ -300,11 +301,13 @@ ORACLES: dict[str, str] = {
  CASE WHEN c IN (10, 11) OR c > 12 THEN nullif(trunc(try_cast(year_value AS double))::INTEGER, 0) END AS thn, row_no FROM base JOIN customer ON c_custkey = o_custkey""",
     "payload_groups": f"""WITH {CLASSIFIED} SELECT target_id, dataset_id AS old_id, tahun_data, count(*) AS n_rows, min(row_no) AS first_row, max(row_no) AS last_row
  FROM classified WHERE reject_reason IS NULL GROUP BY ALL""",
-    "payload_documents": f"""WITH {CLASSIFIED} SELECT target_id, dataset_id AS old_id, tahun_data, cast(count(*) AS INTEGER) AS n_rows, string_agg(jml, ',' ORDER BY row_no) AS jumlah
- FROM classified WHERE reject_reason IS NULL GROUP BY ALL""",
+    "payload_documents": f"""WITH {CLASSIFIED}, placed AS (SELECT *, {N_KEYS_LAST} - 1 AS n_values,
+ (row_number() OVER (PARTITION BY target_id, dataset_id, tahun_data ORDER BY row_no) - 1) // 2 AS chunk FROM classified WHERE reject_reason IS NULL)
+ SELECT target_id, dataset_id AS old_id, tahun_data, chunk, cast(count(*) AS INTEGER) AS n_rows, string_agg(jml, ',' ORDER BY row_no) AS jumlah,
+ string_agg(o_orderpriority, ',' ORDER BY row_no) AS prioritas, cast(sum(n_values) AS INTEGER) AS n_values FROM placed GROUP BY ALL""",
     "payload_rejects": f"WITH {CLASSIFIED} SELECT dataset_id AS old_id, row_no, reject_reason FROM classified WHERE reject_reason IS NOT NULL",
     "outcome_fold": f"WITH {FOLD} SELECT * FROM fold",
-    "failed_payloads": f"WITH {OUTCOMES} SELECT target_id, old_id, tahun_data, n_rows FROM outcomes WHERE NOT ok",
+    "failed_payloads": f"WITH {OUTCOMES} SELECT target_id, old_id, tahun_data, chunk, props FROM outcomes WHERE NOT ok",
     "batch_totals": f"""WITH {FOLD} SELECT count(*) FILTER (WHERE status = 'done') AS done, count(*) FILTER (WHERE status = 'partial') AS partial,
  count(*) FILTER (WHERE status = 'failed') AS failed, cast(coalesce(sum(rows_sent), 0) AS BIGINT) AS rows_sent FROM fold""",
     "progress_latest": f"WITH {LATEST} SELECT *, true AS no_title FROM latest",

@@ -21,6 +21,7 @@ ALIASES, FUZZY = parse_aliases(inputs.ALIAS_CONFIG)
 TARGET_COLUMNS = ["keterangan", "prioritas", "tahun", "jumlah"]
 SETTINGS = replace(Settings(), max_datasets=None)
 DOCUMENT_SETTINGS = replace(SETTINGS, require_columns=("teks",))
+ROWS_PER_DOCUMENT = 2
 YEARS = [1997, 1998, 1999, 2000, 2001]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,10 +44,8 @@ def page_scan(spark, sf_dir):
 
 @query
 def detail_scan(spark, sf_dir):
-    """All usable conversations whole; those with an unusable page are left to ``prefix_until_bad_page``."""
-    landed = inputs.conversation_pages(spark, sf_dir)
-    usable = pages.fetch_status(landed).where("ok").select("dataset_id")
-    rows = pages.records_from_pages(landed.join(usable, "dataset_id", "left_semi"))
+    """All turns of all conversations; unusable pages are the input of ``prefix_until_bad_page``."""
+    rows = pages.records_from_pages(inputs.conversation_pages(spark, sf_dir, "false"))
     return rows.select("dataset_id", F.col("row")["turn"].alias("turn"), F.col("row")["role"].alias("role"), F.md5(F.col("row")["text"]).alias("text_md5"))
 
 
@@ -56,6 +55,12 @@ def prefix_until_bad_page(spark, sf_dir):
     return rows.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.col("row")["turn"].cast("int")).alias("last_turn"))
 
 
+@query
+def target_catalog_scan(spark, sf_dir):
+    """The target catalog as it is served: one page, other pages don't count."""
+    return pages.target_catalog(inputs.target_pages(spark, sf_dir)).select("ord", "id", "judul")
+
+
 @query
 def keyword_filter(spark, sf_dir):
     return catalog.keyword_filter(inputs.page_catalog(spark, sf_dir), [" The ", "aux"]).select("ord", "id", "judul")
@@ -406,11 +411,13 @@ def payload_groups(spark, sf_dir):
 
 @query
 def payload_documents(spark, sf_dir):
-    documents = payloads.payload_documents(payloads.payload_rows(_classified(spark, sf_dir)))
-    data = F.col("body.data")
+    documents = payloads.payload_documents(payloads.payload_rows(_classified(spark, sf_dir)), ROWS_PER_DOCUMENT)
+    data = F.transform("body.data", lambda record: F.from_json(F.to_json(record), "map<string,string>"))
     return documents.select(
-        "target_id", "old_id", F.col("body.tahun_data").alias("tahun_data"), F.size(data).alias("n_rows"),
+        "target_id", "old_id", F.col("body.tahun_data").alias("tahun_data"), "chunk", F.size(data).alias("n_rows"),
         F.array_join(F.transform(data, lambda record: record["jumlah"]), ",").alias("jumlah"),
+        F.array_join(F.transform(data, lambda record: record["prioritas"]), ",").alias("prioritas"),
+        F.size(F.flatten(F.transform("body.data", lambda record: F.map_keys(record)))).alias("n_values"),
     )
 
 
@@ -426,8 +433,8 @@ def outcome_fold(spark, sf_dir):
 
 @query
 def failed_payloads(spark, sf_dir):
-    found = inputs.outcomes(spark, sf_dir)
-    return payloads.failed_payloads(found.select("target_id", "old_id", "tahun_data", "n_rows"), found)
+    failed = payloads.failed_payloads(inputs.sent_documents(spark, sf_dir), inputs.outcomes(spark, sf_dir))
+    return failed.select("target_id", "old_id", "tahun_data", "chunk", F.col("body.data")[0]["props"].alias("props"))
 
 
 @query

@@ -30,7 +30,7 @@ PATTERNS = {
 }
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][0-9 -]{11}", "phone": r"\+[0-9]"}
 TERM = r"\p{L}{3,}+"
-OCTET = "0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+OCTET = "(?:0++|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?))"
 
 CONTEXT = 120
 SUPPORT = 3

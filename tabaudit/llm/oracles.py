@@ -1,5 +1,17 @@
 """SQL for the queries that SQL can express."""
 
+from tabaudit.llm.quality_rules import CHARACTER_LIMIT, CHARACTER_WORDS, COMMON_WORDS, WORD_LIMIT, WORD_WORDS
+
+_COMMON = " UNION ALL ".join(f"SELECT '{lang}' AS lang, unnest({words!r}) AS word" for lang, words in COMMON_WORDS.items())
+
+
+def _distance(counts: str, by: str) -> str:
+    """Jensen-Shannon distance of each document's ``counts(doc_id, lang, kind, n)`` to the sums of its language."""
+    return f"""SELECT doc_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS {by}
+ FROM (SELECT doc_id, n / sum(n) OVER (PARTITION BY doc_id) AS p, sum(CASE WHEN base_failed THEN 0 ELSE n END) OVER (PARTITION BY lang, kind)
+ / sum(CASE WHEN base_failed THEN 0 ELSE n END) OVER (PARTITION BY lang) AS q FROM {counts} JOIN base USING (doc_id)) GROUP BY doc_id"""
+
+
 ORACLES = {
     "op8_exact_dedup": r"""
 WITH norm AS (
@@ -9,4 +21,57 @@ WITH norm AS (
     FROM norm WINDOW w AS (PARTITION BY body ORDER BY points DESC, doc_id NULLS LAST)
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked""",
+    "op5_ngram_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)""",
+    "op10_quality_rules": rf"""
+WITH texts AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS x FROM texts WHERE len(w) > 2
+), repeated AS (
+    SELECT doc_id, count(DISTINCT i + d) AS n FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS times FROM windows), (SELECT unnest([0, 1, 2]) AS d)
+    WHERE times > 1 GROUP BY doc_id
+), measured AS (
+    SELECT doc_id, lang, t, w, cast(len(w) AS BIGINT) AS n_words, cast(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        cast(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM texts LEFT JOIN repeated USING (doc_id)
+), base AS (
+    SELECT doc_id, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+), odd AS (
+    SELECT doc_id, lang, t, n_symbols, regexp_replace(t, '[\p{{Ll}} ]+', '', 'g') AS odd FROM measured
+), classes AS (
+    SELECT doc_id, lang, n_symbols AS symbol, length(t) - length(odd) AS lower, length(odd) - length(regexp_replace(odd, '\p{{Lu}}', '', 'g')) AS upper,
+        length(odd) - length(regexp_replace(odd, '\p{{N}}', '', 'g')) AS digit, length(odd) - length(regexp_replace(odd, '[.,;:!?''"()-]', '', 'g')) AS mark,
+        length(odd) - length(regexp_replace(odd, '[\n\r]', '', 'g')) AS line, length(odd) AS odd_chars FROM odd
+), characters AS (
+    UNPIVOT (SELECT doc_id, lang, lower, upper, digit, mark, symbol, line, greatest(odd_chars - upper - digit - mark - symbol - line, 0) AS rest FROM classes)
+    ON lower, upper, digit, mark, symbol, line, rest INTO NAME kind VALUE n
+), known AS ({_COMMON}
+), hits AS (
+    SELECT m.doc_id, k.lang, k.word, count(*) AS n FROM (SELECT doc_id, lang, lower(unnest(w)) AS word FROM measured) m JOIN known k ON k.lang = m.lang AND k.word = m.word GROUP BY ALL
+), common AS (
+    SELECT m.doc_id, m.lang, k.word AS kind, coalesce(h.n, 0) AS n FROM measured m JOIN known k USING (lang) LEFT JOIN hits h ON h.doc_id = m.doc_id AND h.word = k.word
+    UNION ALL SELECT m.doc_id, m.lang, NULL, any_value(n_words) - coalesce(sum(h.n), 0) FROM measured m LEFT JOIN hits h USING (doc_id)
+    WHERE m.lang IN (SELECT lang FROM known) GROUP BY m.doc_id, m.lang
+), by_character AS ({_distance("characters", "c")}
+), by_word AS ({_distance("common", "d")}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT (n_words >= {CHARACTER_WORDS} AND coalesce(c, 0) > {CHARACTER_LIMIT} OR n_words >= {WORD_WORDS} AND coalesce(d, 0) > {WORD_LIMIT}) AS kept
+FROM measured JOIN base USING (doc_id) LEFT JOIN by_character USING (doc_id) LEFT JOIN by_word USING (doc_id)""",
 }

@@ -44,7 +44,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return ngram_join.linked_components(table(spark, sf_dir, "documents"), width=4, percent=85).drop("n_links")
 
 
 def op6_shard_uniformly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +69,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judged(table(spark, sf_dir, "documents"))
+    return quality_rules.judged(table(spark, sf_dir, "documents")).drop("character_distance", "word_distance")
 
 
 QUERIES: dict[str, Query] = {

@@ -26,7 +26,8 @@ from tabaudit.llm.shingles import _SPACE, _word_hashes
 from tabaudit.session import written
 
 FOLDS, HELD_OUT = 3, 1
-RIDGE = 1e-3
+#: Strength of the ridge, and what is added to it divided by the number of positives: few examples allow little.
+RIDGE, RIDGE_EXTRA = 1e-3, 10.0
 STEPS = 25
 
 # Byte classes: lower case, upper case, digits, white space but line ends, line ends, then the marks by kind, then the rest.
@@ -138,6 +139,8 @@ def fit(examples: DataFrame, prior: float) -> np.ndarray:
     scale = np.where(scale > 1e-6, scale, np.inf)
     positive_mean = (moments[2 + 2 * d :] / n_positive - mean) / scale
 
+    strength = RIDGE + RIDGE_EXTRA / n_positive
+
     def state(w: np.ndarray):
         def of(x: np.ndarray, p: np.ndarray) -> np.ndarray:
             z = (x - mean) / scale
@@ -148,10 +151,10 @@ def fit(examples: DataFrame, prior: float) -> np.ndarray:
 
         sums = _sums(examples, of, 2 + d + d * d)
         unlabelled, positive = sums[0] / n_unlabelled, sums[1] / n_positive
-        ridge = RIDGE * np.concatenate(([0.0], w[1:]))
+        ridge = strength * np.concatenate(([0.0], w[1:]))
         risk = -prior * positive_mean @ w + unlabelled + 0.5 * w @ ridge
         gradient = -prior * positive_mean + sums[2 : 2 + d] / n_unlabelled + ridge
-        hessian = sums[2 + d :].reshape(d, d) / n_unlabelled + RIDGE * np.eye(d)
+        hessian = sums[2 + d :].reshape(d, d) / n_unlabelled + strength * np.eye(d)
         return risk, unlabelled - prior * positive, gradient, hessian
 
     w = np.zeros(d)

@@ -130,10 +130,10 @@ def disclosures(docs: DataFrame, base: DataFrame, contexts: DataFrame) -> DataFr
     n_entity = n_entity.groupBy("e.kind", "e.value").agg(F.count(F.lit(1)).alias("n_entity"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(TERM), F.lit(0)))).alias("term"))
     n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = base.agg(F.count(F.lit(1)).cast("double").alias("total"))
-    met = together.join(n_entity, entity).join(n_term, "term").join(F.broadcast(total))  # one line
-    content = F.log2(F.col("total") / F.col("n_entity"))
-    mutual = F.log2(F.col("total") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    total = F.lit(float(base.count()))
+    met = together.join(n_entity, entity).join(n_term, "term")
+    content = F.log2(total / F.col("n_entity"))
+    mutual = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
     ratio = F.when(content > 0, mutual / content).otherwise(F.lit(0.0))
     return met.select(*entity, "term", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
 

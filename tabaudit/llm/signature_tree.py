@@ -12,14 +12,24 @@ from dataclasses import dataclass
 
 import numpy as np
 
-BITS = 4096
+BITS = 2048
 FANOUT = 8
 
 
-def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles >> np.uint64(17)) % np.uint64(BITS)] = 1
-    return np.packbits(bits).view(np.uint64)
+def width_of(n: int) -> int:
+    """Bits for a set of ``n`` shingles: a power of two, so that a bitmap of a large set doesn't fill up."""
+    return max(BITS, 1 << max(0, int(n) - 1).bit_length())
+
+
+def bitmap(shingles: np.ndarray, width: int = BITS) -> np.ndarray:
+    bits = np.zeros(width, np.uint8)
+    bits[(shingles >> np.uint64(17)) % np.uint64(width)] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap at a smaller width."""
+    return np.bitwise_or.reduce(bits.reshape(-1, width // 64), axis=0)
 
 
 def shared_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -35,12 +45,9 @@ class Level:
 
 
 class Tree:
-    """Sets in the order of their sizes; level 0 are the sets themselves, each further level has a node for ``FANOUT``."""
+    """Sets in the order of their sizes, by bitmap; level 0 are the sets, each further level has a node for ``FANOUT``."""
 
-    def __init__(self, sets: list[np.ndarray], bits: np.ndarray | None = None):
-        self.sets = sets
-        sizes = np.array([len(s) for s in sets], np.int64)
-        bits = np.stack([bitmap(s) for s in sets]) if bits is None else bits
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray):
         self.levels = [Level(bits, sizes, sizes, sizes - shared_bits(bits, bits))]
         while len(self.levels[-1].small) > 1:
             below = self.levels[-1]
@@ -95,15 +102,10 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def dual_links(left: Tree, right: Tree | None, groups: Groups, shift: int, percent: int) -> list[tuple[int, int]]:
-    """Links that join groups not yet joined: inside ``left``, or between ``left`` and ``right``.
-
-    ``shift`` is the number of the first set of ``right`` in ``groups``. Together with the groups given, the links found
-    connect all pairs that reach the threshold.
-    """
+def dual_pairs(left: Tree, right: Tree | None, percent: int) -> np.ndarray:
+    """Pairs of sets that the bitmaps leave possible: inside ``left`` (each pair once), or between ``left`` and ``right``."""
     own = right is None
     right = left if own else right
-    found: list[tuple[int, int]] = []
     top = max(len(left.levels), len(right.levels)) - 1
 
     def at(tree: Tree, level: int) -> int:
@@ -116,17 +118,39 @@ def dual_links(left: Tree, right: Tree | None, groups: Groups, shift: int, perce
             pairs = _children(pairs, len(a.small), at(left, level) < at(left, level + 1), len(b.small), at(right, level) < at(right, level + 1))
         if own:
             pairs = pairs[pairs[:, 0] <= pairs[:, 1]] if level else pairs[pairs[:, 0] < pairs[:, 1]]
-        keep = [possible(a, part[:, 0], b, part[:, 1], percent) for part in np.array_split(pairs, max(1, len(pairs) // 16384))]
+        keep = [possible(a, part[:, 0], b, part[:, 1], percent) for part in np.array_split(pairs, len(pairs) // 16384 + 1)]
         pairs = pairs[np.concatenate(keep)]
-        if not len(pairs):
-            return found
+    return pairs
+
+
+def dual_links(pairs: np.ndarray, left: list[np.ndarray], right: list[np.ndarray], groups: Groups, shift: int, percent: int) -> list[tuple[int, int]]:
+    """Links among ``pairs`` that join groups not yet joined, tested on the sets themselves.
+
+    ``shift`` is the number of the first set of ``right`` in ``groups``. Together with the groups given, the links found
+    connect all pairs that reach the threshold.
+    """
+    found = []
     for i, j in pairs.tolist():
-        if groups.find(i) != groups.find(j + shift) and linked(left.sets[i], right.sets[j], percent):
+        if groups.find(i) != groups.find(j + shift) and linked(left[i], right[j], percent):
             groups.join(i, j + shift)
             found.append((i, j))
     return found
 
 
+def lowest_labels(n: int, pairs: np.ndarray) -> np.ndarray:
+    """For each of ``n`` members the lowest member that pairs connect it with."""
+    labels = np.arange(n)
+    while len(pairs):
+        before = labels.copy()
+        low = np.minimum(labels[pairs[:, 0]], labels[pairs[:, 1]])
+        np.minimum.at(labels, pairs[:, 0], low)
+        np.minimum.at(labels, pairs[:, 1], low)
+        labels = labels[labels]
+        if (labels == before).all():
+            break
+    return labels
+
+
 def _children(pairs: np.ndarray, n_left: int, down_left: bool, n_right: int, down_right: bool) -> np.ndarray:
     left = pairs[:, :1] * FANOUT + np.arange(FANOUT) if down_left else pairs[:, :1]
     right = pairs[:, 1:] * FANOUT + np.arange(FANOUT) if down_right else pairs[:, 1:]

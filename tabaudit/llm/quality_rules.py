@@ -118,7 +118,8 @@ def distance(a: Column, b: Column) -> Column:
 def judged(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept`` and both distances."""
     rows = written(_histograms(measured(docs)))
-    met = rows.join(references(rows), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
+    known_langs = written(references(rows))  # a line for each language; its size decides how it is joined
+    met = rows.join(known_langs, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
     met = met.withColumn("character_distance", F.coalesce(distance(F.col("characters"), F.col("ref_characters")), F.lit(0.0)))
     known = F.coalesce(F.col("lang").isin(list(COMMON_WORDS)), F.lit(False))
     met = met.withColumn("word_distance", F.when(known, F.coalesce(distance(F.col("common"), F.col("ref_common")), F.lit(0.0))).otherwise(F.lit(0.0)))

@@ -1,19 +1,22 @@
 """Personal data and what gives it away, in DataFrame functions only.
 
 Base kinds (e-mail, IP address, card, phone) are found by pattern. Every distinct value found is a protected entity. From
-all documents the corpus statistics tell how strongly a term near an entity reveals it: with ``n`` documents holding the
-term, the entity, or both, the pointwise mutual information of the two is set against the information content of the
-entity. A ratio of 1 means that the term occurs nowhere without the entity. Terms at or above ``GENERALISE`` are replaced by
-a general label, at or above ``REMOVE`` they are removed. A term counts only with an entity that it accompanies in
-``SUPPORT`` different texts, as a single text proves no association; copies of a text are one text.
-
-Null text counts as empty: no spans. Repeated rows get the same spans. Positions are code points, ends exclusive.
-Each occurrence of an entity looks at the terms within ``CONTEXT`` code points on both sides, so the work grows with the
-text and no pairs of distant terms are formed.
+all documents the corpus statistics tell how strongly a term of a document reveals an entity in it: with ``n`` documents
+holding the term, the entity, or both, the pointwise mutual information of the two is set against the information content of
+the entity. A ratio of 1 means that the term occurs nowhere without the entity. Terms at or above ``GENERALISE`` are replaced
+by a general label, at or above ``REMOVE`` they are removed, wherever they stand in a document that holds the entity. A term
+counts only with an entity that it accompanies in ``SUPPORT`` different texts, as a single text proves no association; copies
+of a text are one text.
+
+Null text counts as empty: no spans. Repeated rows get the same spans. Positions are code points, ends exclusive. A document
+holds a term where it stands clear of all entities. Whole texts are compared, at any distance. Before terms and entities are
+paired those fall away that can't reach ``SUPPORT`` or ``GENERALISE`` by their own counts; this loses no pair.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +35,9 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][0-9 -]{11}", "phone
 TERM = r"\p{L}{3,}+"
 OCTET = "(?:0++|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?))"
 
-CONTEXT = 120
+#: Stands for the letters of an entity. It is no letter, and documents' own ones become spaces.
+HIDDEN = "\U0010ffff"
+RUN = r"[\p{L}\x{10FFFF}]{3,}+"
 SUPPORT = 3
 GENERALISE, REMOVE = 0.7, 0.9
 
@@ -47,8 +52,8 @@ def matches(text: Column, pattern: str, hint: str) -> Column:
     return F.when(text.rlike(hint), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def placed(text: Column, pattern: str, values: Column) -> Column:
-    """The matches as an array of ``(at, value)`` with positions in code points: what stands between them gives the distances."""
+def placed(text: Column, pattern: str, values: Column, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """The wanted matches as an array of ``(at, value)`` with positions in code points: what stands between matches gives the distances."""
     gaps = F.when(F.size(values) > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
     pieces = F.zip_with(values, gaps, lambda value, gap: record(value=value, gap=F.length(gap)))
     pieces = F.filter(pieces, lambda x: x["value"].isNotNull())
@@ -56,7 +61,8 @@ def placed(text: Column, pattern: str, values: Column) -> Column:
 
     def step(state: Column, x: Column) -> Column:
         at = state["end"] + x["gap"]
-        return record(end=at + F.length(x["value"]), out=F.array_append(state["out"], record(at=at, value=x["value"])))
+        out = F.when(wanted(x["value"]), F.array_append(state["out"], record(at=at, value=x["value"]))).otherwise(state["out"])
+        return record(end=at + F.length(x["value"]), out=out)
 
     return F.aggregate(pieces, start, step, lambda state: state["out"])
 
@@ -76,7 +82,7 @@ def valid(kind: str, value: Column) -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_key, n_points`` and for each kind an array of ``(at, value)``; with the contexts of all entities."""
+    """``doc_id, text, text_key, n_points``, for each kind an array of ``(at, value)``, and ``clear``: a text with entities hidden, else null."""
     rows = require(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.select("*", *[matches(F.col("text"), p, HINTS[k]).alias(f"all_{k}") for k, p in PATTERNS.items()])
 
@@ -84,70 +90,86 @@ def base_spans(docs: DataFrame) -> DataFrame:
         return F.filter(placed(F.col("text"), PATTERNS[kind], F.col(f"all_{kind}")), lambda x: valid(kind, x["value"])).alias(kind)
 
     rows = rows.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.length("text").alias("n_points"), *[checked(k) for k in PATTERNS])
+    spans = F.concat(*[F.transform(k, lambda s: record(at=s["at"], end=s["at"] + F.length(s["value"]))) for k in PATTERNS])
+    text = own_clear(F.col("text"))
+
+    def step(s: Column, x: Column) -> Column:
+        start, end = F.greatest(s["end"], x["at"]), F.greatest(s["end"], x["end"])
+        hidden = F.regexp_replace(F.substring(text, start + 1, end - start), r"\p{L}", HIDDEN)
+        return record(end=end, out=F.concat(s["out"], F.substring(text, s["end"] + 1, start - s["end"]), hidden))
+
+    clear = F.aggregate(F.array_sort(spans), record(end=F.lit(0), out=F.lit("")), step, lambda s: F.concat(s["out"], F.substring(text, s["end"] + 1, F.length(text))))
+    return rows.withColumn("clear", F.when(F.size(spans) > 0, clear))
+
+
+def own_clear(text: Column) -> Column:
+    """A text without the sign that hides entities; positions stay."""
+    return F.replace(text, F.lit(HIDDEN), F.lit(" "))
+
+
+def runs(clear: Column) -> Column:
+    return F.regexp_extract_all(clear, F.lit(RUN), F.lit(0))
+
+
+def terms_of(clear: Column) -> Column:
+    """The different terms that stand clear of entities. A run of letters that overlaps an entity is no term."""
+    return F.array_distinct(F.transform(F.filter(runs(clear), lambda x: ~F.contains(x, F.lit(HIDDEN))), F.lower))
+
+
+def ratio_of(total: float, n_both: Column, n_term: Column, n_entity: Column) -> Column:
+    content = F.log2(total / n_entity)
+    return F.when(content > 0, F.log2(total * n_both / (n_term * n_entity)) / content).otherwise(F.lit(0.0))
+
 
-    def near(kind: str) -> Column:
-        def one(x: Column) -> Column:
-            end = x["at"] + F.length(x["value"])
-            first = F.greatest(x["at"] - CONTEXT, F.lit(0))
-            left, right = F.substring(F.col("text"), first + 1, x["at"] - first), F.substring(F.col("text"), end + 1, F.lit(CONTEXT))
-            return record(kind=F.lit(kind), value=x["value"], left_at=first, left=left, right_at=end, right=right)
+def possible(total: float, n_term: Column, n_entity: Column) -> Column:
+    """Whether the ratio can reach ``GENERALISE``: the two meet in no more documents than the rarer one has."""
+    return ratio_of(total, F.least(n_term, n_entity), n_term, n_entity) >= GENERALISE - 1e-9
 
-        return F.transform(kind, one)
 
-    return rows.select("doc_id", "text_key", "n_points", *PATTERNS, F.concat(*[near(k) for k in PATTERNS]).alias("near"))
+TEXT, ENTITY = ["text_key", "n_points"], ["kind", "value"]
 
 
-def _contexts(base: DataFrame) -> DataFrame:
-    """``text_key, copies, kind, value, term, at, end``: terms near the entities of each different text."""
-    texts = base.where(F.size("near") > 0).groupBy("text_key", "n_points").agg(
-        F.count(F.lit(1)).alias("copies"), F.first(F.struct("near", *PATTERNS)).alias("x")
-    )
-    spans = [F.transform(f"x.{k}", lambda s: record(at=s["at"], end=s["at"] + F.length(s["value"]))) for k in PATTERNS]
-    entities = texts.select("text_key", "n_points", "copies", F.concat(*spans).alias("spans"), F.explode("x.near").alias("e"))
+def _holders(base: DataFrame) -> DataFrame:
+    """``text_key, n_points, copies, kind, value, n_entity``: the entities of each different text that occur in ``SUPPORT`` of them."""
+    texts = base.where("clear IS NOT NULL").groupBy(*TEXT).agg(F.count(F.lit(1)).alias("copies"), F.first(F.struct(*PATTERNS)).alias("x"))
+    values = [F.transform(f"x.{k}", lambda s: record(kind=F.lit(k), value=s["value"])) for k in PATTERNS]
+    entities = texts.select(*TEXT, "copies", F.explode(F.array_distinct(F.concat(*values))).alias("e")).select(*TEXT, "copies", "e.kind", "e.value")
+    counts = entities.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_entity"))
+    return entities.join(counts.where(F.col("texts") >= SUPPORT).drop("texts"), ENTITY)
 
-    def side(name: str) -> Column:
-        text = F.col(f"e.{name}")
-        terms = placed(text, TERM, F.regexp_extract_all(text, F.lit(TERM), F.lit(0)))
-        # A term at the outer border may be cut.
-        terms = F.filter(terms, lambda t: (t["at"] > 0) | (F.col("e.left_at") == 0) if name == "left" else t["at"] + F.length(t["value"]) < CONTEXT)
-        return F.transform(terms, lambda t: record(at=F.col(f"e.{name}_at") + t["at"], term=t["value"]))
 
-    terms = entities.select("text_key", "n_points", "copies", "spans", "e.kind", "e.value", F.explode(F.concat(side("left"), side("right"))).alias("t"))
-    terms = terms.select(
-        "text_key", "n_points", "copies", "spans", "kind", "value", F.lower("t.term").alias("term"), F.col("t.at").alias("at"), (F.col("t.at") + F.length("t.term")).alias("end")
-    )
-    clear = ~F.exists("spans", lambda s: (s["at"] < F.col("end")) & (s["end"] > F.col("at")))
-    return terms.where(clear).drop("spans")
+def _terms(docs: DataFrame, base: DataFrame, holders: DataFrame, total: float) -> DataFrame:
+    """``text_key, n_points, term, n_term``: terms of the texts with such entities, as far as their number allows a ratio."""
+    most = holders.where(F.col("n_entity") < total).agg(F.coalesce(F.max("n_entity"), F.lit(0))).first()[0]
+    words = base_spans(docs).select(F.explode(terms_of(F.coalesce("clear", own_clear(F.col("text"))))).alias("term"))
+    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(F.col("n_term") >= SUPPORT)
+    n_term = n_term.where(possible(total, F.col("n_term"), F.lit(most))) if most else n_term.where("false")
+    texts = base.where("clear IS NOT NULL").select(*TEXT, "clear").join(holders.select(*TEXT).distinct(), TEXT, "left_semi").dropDuplicates(TEXT)
+    return texts.select(*TEXT, F.explode(terms_of(F.col("clear"))).alias("term")).join(n_term, "term")
 
 
-def disclosures(docs: DataFrame, base: DataFrame, contexts: DataFrame) -> DataFrame:
+def disclosures(holders: DataFrame, terms: DataFrame, total: float) -> DataFrame:
     """``kind, value, term, ratio``: terms that reveal an entity, by co-occurrence over the whole corpus."""
-    entity = ["kind", "value"]
-    together = contexts.select("text_key", "n_points", "copies", *entity, "term").distinct()
-    together = together.groupBy(*entity, "term").agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_both")).where(F.col("texts") >= SUPPORT)
-    together = written(together)
-    n_entity = base.select("text_key", F.explode(F.array_distinct(F.transform("near", lambda e: record(kind=e["kind"], value=e["value"])))).alias("e"))
-    n_entity = n_entity.groupBy("e.kind", "e.value").agg(F.count(F.lit(1)).alias("n_entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_of()), F.lit(TERM), F.lit(0)))).alias("term"))
-    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = F.lit(float(base.count()))
-    met = together.join(n_entity, entity).join(n_term, "term")
-    content = F.log2(total / F.col("n_entity"))
-    mutual = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    ratio = F.when(content > 0, mutual / content).otherwise(F.lit(0.0))
-    return met.select(*entity, "term", ratio.alias("ratio")).where(F.col("ratio") >= GENERALISE)
+    n_term, n_entity = F.col("n_term"), F.col("n_entity")
+    met = terms.join(holders, TEXT).where(possible(total, n_term, n_entity)).groupBy(*ENTITY, "term", "n_term", "n_entity")
+    met = met.agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("n_both")).where(F.col("texts") >= SUPPORT)
+    return met.select(*ENTITY, "term", ratio_of(total, F.col("n_both"), n_term, n_entity).alias("ratio")).where(F.col("ratio") >= GENERALISE)
 
 
 def spans(docs: DataFrame) -> DataFrame:
     """``doc_id, text_key``, the base arrays, and ``terms``: an array of ``(kind, at, end)`` with kind generalise or remove."""
-    base = written(base_spans(docs))
-    contexts = written(_contexts(base))
-    told = written(disclosures(docs, base, contexts))
-    marked = contexts.join(told, ["kind", "value", "term"]).groupBy("text_key", "n_points", "at", "end").agg(F.max("ratio").alias("ratio"))
+    base = written(base_spans(docs).drop("text"))
+    holders, total = written(_holders(base)), float(base.count())
+    terms = written(_terms(docs, base, holders, total))
+    told = written(disclosures(holders, terms, total))
+    marked = terms.join(told, "term").join(holders.select(*TEXT, *ENTITY), [*TEXT, *ENTITY], "left_semi").groupBy(*TEXT, "term").agg(F.max("ratio").alias("ratio"))
     label = F.when(F.col("ratio") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
-    marked = marked.groupBy("text_key", "n_points").agg(F.sort_array(F.collect_list(F.struct(label.alias("kind"), "at", "end"))).alias("terms"))
+    marked = marked.groupBy(*TEXT).agg(F.map_from_entries(F.collect_list(F.struct("term", label.alias("kind")))).alias("told"))
+    found = placed(F.col("clear"), RUN, runs(F.col("clear")), lambda value: F.element_at("told", F.lower(value)).isNotNull())
+    found = F.transform(found, lambda t: record(kind=F.element_at("told", F.lower(t["value"])), at=t["at"], end=t["at"] + F.length(t["value"])))
     none = F.array().cast("array<struct<kind:string,at:int,end:int>>")
-    return base.drop("near").join(marked, ["text_key", "n_points"], "left").withColumn("terms", F.coalesce("terms", none))
+    rows = base.join(marked, TEXT, "left").withColumn("terms", F.when(F.col("told").isNotNull(), F.sort_array(found)).otherwise(none))
+    return rows.drop("clear", "told")
 
 
 def listed(kind: str) -> Column:

@@ -401,6 +401,24 @@ def test_revealing_terms_are_marked(spark):
     assert "Zebulon" not in clean[0] and "zeb@" not in clean[0] and "<EMAIL>" in clean[0] and clean[5] == texts[5]
 
 
+def test_revealing_terms_at_any_distance(spark):
+    far = lambda k, n=400: " ".join(prose(k, n))
+    texts = [f"Zebulon wrote {far(k)} Zebulon {far(k + 20)} zeb@mail.org {far(k + 40)} ZEBULON" for k in range(5)]
+    texts += [f"somebody wrote {far(k + 90)}" for k in range(60)] + [f"Orlan and Orlan {far(k + 200)} orl@mail.org" for k in range(2)]
+    texts += [f"\U0010ffff Éva near +49 30 1234567 {far(k + 300)} évaxy@mail.org \U0001f600 éva" for k in range(3)]
+    docs = frame(spark, texts, lang=[None] * len(texts), source=[None] * len(texts))
+    found = {r.doc_id: r.spans for r in pii.found_personal_data(docs).collect()}
+    for k in range(5):
+        want = [f"remove:{m.start()}:{m.end()}" for m in re.finditer("(?i)zebulon", texts[k])]
+        assert [x for x in found[k].split(",") if x.startswith(("remove", "generalise"))] == want and len(want) == 3
+    assert not any("remove" in found[k] or "generalise" in found[k] for k in range(5, 67))
+    for k in range(67, 70):  # a run of letters that overlaps an entity is no term
+        want = {f"remove:{m.start()}:{m.end()}" for m in re.finditer("(?i)(?<!\\w)éva(?!\\w)|near", texts[k])}
+        assert {x for x in found[k].split(",") if x.startswith(("remove", "generalise"))} == want and len(want) == 3
+    clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
+    assert not any("zebulon" in clean[k].lower() for k in range(5)) and clean[5] == texts[5]
+
+
 # --- quality rules ---------------------------------------------------------------------------------------------------
 
 

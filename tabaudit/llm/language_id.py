@@ -5,8 +5,9 @@
 * address suffix and host: priors smoothed hierarchically, host towards suffix, suffix towards the whole, from the soft
   counts of all pages; a page's own share is taken out of its host's counts before it is used.
 
-Counts are grouped aggregates; a page joins the line of its host, its suffix and its declaration. Only the trigram table
-(a fixed number of buckets by language) and the language list go to every task.
+Counts are grouped aggregates; a page joins the line of its host, its suffix and its declaration. Only a trigram table
+(a fixed number of buckets by ``LANGUAGES_AT_ONCE`` languages) and the language list go to every task. Every language that
+occurs is a candidate; where there are more of them than one table takes, the pages are read block by block.
 
 Null or empty pages have no text evidence and are decided by the rest. A page without an address has the null host and
 suffix, one without declaration the null declaration; each is a value like others. Repeated pages are judged alike.
@@ -14,11 +15,13 @@ suffix, one without declaration the null declaration; each is a value like other
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +29,8 @@ from tabaudit.llm.common import require, row_slices, text_buffers, text_of
 from tabaudit.session import written
 
 BUCKETS = 1 << 15
-#: Languages with fewer documents than this part of all are no candidates.
-LEAST_SHARE = 0.001
+#: Languages whose trigram counts a task holds at the same time. It bounds memory, not the candidates.
+LANGUAGES_AT_ONCE = 128
 #: Neighbouring trigrams overlap, so their evidence is weighed down.
 TEMPER = 1 / 3
 HOST_WEIGHT, SUFFIX_WEIGHT, DECLARED_WEIGHT = 5.0, 20.0, 1.0
@@ -50,36 +53,51 @@ def trigram_buckets(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield home[:-2][inside], ((value * 2654435761 >> 13) % BUCKETS)[inside], b - a
 
 
-def text_model(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Languages, log probability of each bucket by language, and the languages' shares."""
-    shares = docs.where("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    known = shares.where(F.col("n") >= LEAST_SHARE * total).orderBy("lang").collect()  # at most 1 / LEAST_SHARE lines
-    langs = [row["lang"] for row in known]
+def text_model(docs: DataFrame) -> tuple[list[str], DataFrame, np.ndarray]:
+    """All languages, a table ``lang, counts`` of their trigram counts by bucket, and the languages' shares."""
+    docs = docs.select(F.col("lang").cast("string").alias("lang"), text_of().alias("text")).where("lang IS NOT NULL")
+    known = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()  # a line for each language
+    most = LANGUAGES_AT_ONCE
+
+    def lines(table: dict[str, np.ndarray]) -> pa.RecordBatch:
+        bodies = [zlib.compress(line.tobytes(), 1) for line in table.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(table), pa.string()), pa.array(bodies, pa.binary())], ["lang", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, place = np.zeros((len(langs), BUCKETS), np.int64), {lang: k for k, lang in enumerate(langs)}
+        table: dict[str, np.ndarray] = {}
         for batch in batches:
-            owner, row = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64), 0
+            owner, row = batch.column("lang").dictionary_encode(), 0
+            names, place = owner.dictionary.to_pylist(), owner.indices.to_numpy()
             for home, bucket, n in trigram_buckets(batch.column("text")):
-                lang = owner[row : row + n][home] if n else home
-                good = lang >= 0
-                table += np.bincount(lang[good] * BUCKETS + bucket[good], minlength=table.size).reshape(table.shape)
+                lang = place[row : row + n][home]
+                order = np.argsort(lang, kind="stable")
+                present, first = np.unique(lang[order], return_index=True)
+                for k, part in zip(present, np.split(bucket[order], first[1:])):
+                    if names[k] not in table and len(table) >= most:
+                        yield lines(table)
+                        table = {}
+                    table[names[k]] = table.get(names[k], 0) + np.bincount(part, minlength=BUCKETS)
                 row += n
-        yield pa.RecordBatch.from_arrays([pa.array(langs), pa.array([line.tobytes() for line in table], pa.binary())], ["lang", "counts"])
+        yield lines(table)
 
     def added(group: pd.DataFrame) -> pd.DataFrame:
         out = np.zeros(BUCKETS, np.int64)
         for body in group["counts"]:
-            out += np.frombuffer(body, np.int64)
-        return pd.DataFrame({"lang": group["lang"].iloc[:1].to_numpy(), "counts": [out.tobytes()]})
+            out += np.frombuffer(zlib.decompress(body), np.int64)
+        return pd.DataFrame({"lang": group["lang"].iloc[:1].to_numpy(), "counts": [zlib.compress(out.tobytes(), 1)]})
 
-    parts = docs.select(F.col("lang").cast("string").alias("lang"), text_of().alias("text")).mapInArrow(count, "lang string, counts binary")
+    parts = docs.mapInArrow(count, "lang string, counts binary")
     lanes = parts.withColumn("lane", F.pmod(F.xxhash64("counts"), F.lit(32))).groupBy("lang", "lane").applyInPandas(lambda g: added(g[["lang", "counts"]]), "lang string, counts binary")
-    rows = {row["lang"]: np.frombuffer(row["counts"], np.int64) for row in lanes.groupBy("lang").applyInPandas(added, "lang string, counts binary").collect()}
-    table = np.stack([rows[lang] for lang in langs]).astype(float) + 0.5 if langs else np.zeros((0, BUCKETS))
+    counts = written(lanes.groupBy("lang").applyInPandas(added, "lang string, counts binary"))
     prior = np.array([row["n"] for row in known], float)
-    return langs, np.log(table / table.sum(axis=1, keepdims=True)) if langs else table, prior / max(prior.sum(), 1)
+    return [row["lang"] for row in known], counts, prior / max(prior.sum(), 1)
+
+
+def trigram_logs(counts: DataFrame, langs: list[str]) -> np.ndarray:
+    """Log probability of each bucket by language. Languages without any trigram have no line."""
+    rows = {row["lang"]: np.frombuffer(zlib.decompress(row["counts"]), np.int64) for row in counts.where(F.col("lang").isin(langs)).collect()}
+    table = np.stack([rows.get(lang, np.zeros(BUCKETS, np.int64)) for lang in langs]).astype(float) + 0.5
+    return np.log(table / table.sum(axis=1, keepdims=True))
 
 
 def visible_text(html: Column) -> Column:
@@ -106,25 +124,39 @@ def _soft(values: np.ndarray) -> np.ndarray:
 
 def identified(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """``page_id, lang, confidence, text_lang, declared, host, suffix``, one row for each row of ``pages``."""
-    langs, table, prior = text_model(require(docs, "text", "lang"))
+    langs, counts, prior = text_model(require(docs, "text", "lang"))
     n = len(langs)
     if not n:
         none = [F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_lang")]
         return _read(pages).select("page_id", *none, "declared", "host", "suffix")
-    model = docs.sparkSession.sparkContext.broadcast(table.T.copy())
     names = ["page_id", "declared", "host", "suffix"]
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [np.zeros((0, n))]
-            for home, bucket, rows in trigram_buckets(batch.column("text")):
-                parts.append(np.stack([np.bincount(home, weights=model.value[bucket, k], minlength=rows) for k in range(n)], axis=1))
-            lines = np.concatenate(parts) * TEMPER
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(lines.tolist(), pa.list_(pa.float64()))], [*names, "text_log"])
-
-    read = _read(pages)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in read.schema.fields if f.name != "text")
-    rows = read.mapInArrow(likely, f"{kinds}, text_log array<double>")
+    def likely(model: Broadcast, kept: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Adds the languages of a model to ``text_log``, which has those of the models before it."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            width = model.value.shape[1]
+            for batch in batches:
+                parts = [np.zeros((0, width))]
+                for home, bucket, rows in trigram_buckets(batch.column("text")):
+                    parts.append(np.stack([np.bincount(home, weights=model.value[bucket, k], minlength=rows) for k in range(width)], axis=1))
+                new = (np.concatenate(parts) * TEMPER).tolist()
+                old = batch.column("text_log").to_pylist() if "text_log" in batch.schema.names else [[]] * len(new)
+                lines = pa.array([a + b for a, b in zip(old, new)], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lines], [*kept, "text_log"])
+
+        return run
+
+    rows = _read(pages)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    for at in range(0, n, LANGUAGES_AT_ONCE):
+        last = at + LANGUAGES_AT_ONCE >= n
+        kept = names if last else [*names, "text"]
+        model = docs.sparkSession.sparkContext.broadcast(trigram_logs(counts, langs[at : at + LANGUAGES_AT_ONCE]).T.copy())
+        rows = rows.mapInArrow(likely(model, kept), ", ".join([*[f"{c} {kinds[c]}" for c in kept], "text_log array<double>"]))
+        if not last:  # so that no task holds two models
+            rows = written(rows)
+            model.unpersist()
 
     @F.pandas_udf("array<double>")
     def soft(text_log: pd.Series) -> pd.Series:

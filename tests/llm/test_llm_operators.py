@@ -467,6 +467,19 @@ def test_language_of_pages(spark, nothing):
     assert language_id.identified(odd, nothing).where("lang IS NULL").count() == 4
 
 
+def test_rare_languages_are_candidates(spark, monkeypatch):
+    english = "the weather of the north was cold and the people stayed at home with their books "
+    rare = {"fi": "talvella on kylmää ja ihmiset pysyvät kotona lukemassa kirjoja takan ääressä ", "sw": "watu wengi walikaa nyumbani wakisoma vitabu kwa sababu ya baridi kali sana "}
+    texts = [(english, "en")] * 2500 + [(rare["fi"] * 3, "fi"), (rare["sw"] * 3, "sw"), ("", "zz")]
+    docs = spark.createDataFrame(texts, "text string, lang string").repartition(3)
+    rows = [(k, f"http://h{k}.{lang}/", f"<html lang={lang}><p>{text * 5}") for k, (lang, text) in enumerate([("en", english), *rare.items()])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(language_id.identified(pages, docs).collect())
+    assert [(r.lang, r.text_lang) for r in whole] == [("en", "en"), ("fi", "fi"), ("sw", "sw")]
+    monkeypatch.setattr(language_id, "LANGUAGES_AT_ONCE", 1)  # a block for each language: the same lines
+    assert sorted(language_id.identified(pages, docs).collect()) == whole
+
+
 # --- token counts ----------------------------------------------------------------------------------------------------
 
 

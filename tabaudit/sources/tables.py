@@ -20,11 +20,11 @@ def check_ready(ready: DataFrame) -> DataFrame:
     return ready
 
 
-def read_ready_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+def read_ready_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """Ready rows from CSV with quoted JSON; every column stays text.
 
-    Large files are read by many tasks. Cells with line breaks need ``line_breaks``, and then a file is read by one task;
-    ready rows of any size belong in Parquet.
+    Cells may have line breaks, so a file is read by one task; ready rows of any size belong in Parquet. Only where no cell
+    has a line break, ``line_breaks=False`` lets many tasks read a large file; it would tear such cells apart.
 
     Rows of a plain CSV file have no number. Where the export wrote ``row_no`` it is used; otherwise rows are
     numbered by their position, which :func:`monotonically_increasing_id` keeps within each file.

@@ -63,6 +63,16 @@ def test_ready_csv_round_trip(spark, tmp_path):
         tables.check_ready(ready.drop("Judul_Tabel"))
 
 
+def test_ready_csv_keeps_line_breaks_in_cells(spark, tmp_path):
+    ready = ready_of(spark, ("007", 'Padi\n"A", sawah\n\nladang', {"x": "a"}), ("008", "Jagung", {"x": "b\nc"}))
+    path = str(tmp_path / "ready")
+    assert reports.write_csv(ready, path)
+    assert sorted(tuple(r) for r in tables.read_ready_csv(spark, path).collect()) == sorted(tuple(r) for r in ready.collect())
+    (tmp_path / "own.csv").write_text('Dataset_Id,Judul_Tabel,Row_Data_JSON\n7,"Padi\nA","{""x"": 1}"\n8,Jagung,"{}"\n')
+    back = tables.read_ready_csv(spark, str(tmp_path / "own.csv")).orderBy("row_no").collect()
+    assert [tuple(r)[:3] for r in back] == [("7", "Padi\nA", '{"x": 1}'), ("8", "Jagung", "{}")]
+
+
 def test_aliases(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"column_aliases": {" KAB ": "Nama "}, "fuzzy_threshold": 70}')
     assert tables.read_aliases(spark, str(tmp_path / "a.json")) == ({"kab": "nama"}, 70)

@@ -100,8 +100,8 @@ def page_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(dataset_id, row_no, teks)``: every sentence of the web pages, whole."""
-    text = F.regexp_replace(F.regexp_replace("html", DROPPED, ""), "<[^>]*>", "\n")
+    """``(dataset_id, row_no, teks)``: every sentence of the web pages, whole, with those of head, scripts, styles and nav."""
+    text = F.regexp_replace("html", "<[^>]*>", "\n")
     rows = table(spark, sf_dir, "pages").select(
         F.col("page_id").cast("string").alias("dataset_id"), F.posexplode(F.split(text, SENTENCE_END)).alias("pos", "teks")
     )

@@ -12,7 +12,62 @@ def _distance(counts: str, by: str) -> str:
  / sum(CASE WHEN base_failed THEN 0 ELSE n END) OVER (PARTITION BY lang) AS q FROM {counts} JOIN base USING (doc_id)) GROUP BY doc_id"""
 
 
+#: CRC-32 of the decimal digits of a number: eight shifts for each of them.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(cast({0} AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)), lambda crc, b:
+ list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)))"""
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(cast({c} AS VARCHAR)) || ':' || cast({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(name: str, first: str) -> str:
+    """All levels of the trees whose leaves are ``first(source, k, node, n)``."""
+    return f"""{name} AS (SELECT source, 0 AS level, k, node, n FROM {first} UNION ALL
+ SELECT source, any_value(level) + 1, k // 16, sha256(string_agg(node, '' ORDER BY k)), (any_value(n) + 15) // 16 FROM {name} WHERE n > 1 GROUP BY source, k // 16)"""
+
+
+def _steps(leaves: str, levels: str, above: int) -> str:
+    """For each of ``leaves(source, k, name)`` and each level the digests left and right of its node."""
+    own = "(x.k >> (4 * level))"
+    return f"""SELECT x.name AS name, level + {above} AS level, coalesce(string_agg(u.node, '' ORDER BY u.k) FILTER (WHERE u.k < {own}), '') AS l, coalesce(string_agg(u.node, '' ORDER BY u.k) FILTER (WHERE u.k > {own}), '') AS r
+ FROM {leaves} x JOIN {levels} u ON u.source IS NOT DISTINCT FROM x.source AND u.n > 1 AND u.k // 16 = x.k >> (4 * (level + 1)) GROUP BY ALL"""
+
+
 ORACLES = {
+    "op11_merkle_manifest": rf"""
+WITH RECURSIVE docs AS (
+    SELECT *, CASE WHEN {_CRC32.format("doc_id")} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS text2 FROM documents
+), leaves AS (
+    SELECT doc_id, source, {_leaf("text")} AS node, {_leaf("text2")} AS tampered, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, {_leaf("text")}) - 1 AS k,
+        count(*) OVER (PARTITION BY source) AS n, row_number() OVER () AS name FROM docs
+), {_levels("low", "leaves")}, roots AS (
+    SELECT source AS name, NULL AS source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS k, node, count(*) OVER () AS n FROM low WHERE n = 1
+), {_levels("high", "roots")}, lower_steps AS ({_steps("leaves", "low", 0)}
+), upper_steps AS ({_steps("roots", "high", 1000)}
+), steps AS (
+    SELECT name, level, l, r FROM lower_steps UNION ALL SELECT x.name, s.level, l, r FROM leaves x JOIN upper_steps s ON s.name IS NOT DISTINCT FROM x.source
+), proofs AS (
+    SELECT name, sha256(string_agg(l || r, '' ORDER BY level)) AS proof_sha256, list({{'l': l, 'r': r, 'h': ''}} ORDER BY level) AS steps FROM steps GROUP BY name
+), folded AS (
+    SELECT x.*, coalesce(proof_sha256, sha256('')) AS proof_sha256, list_reduce(list_prepend({{'l': '', 'r': '', 'h': tampered}}, coalesce(steps, [])),
+        lambda a, s: {{'l': '', 'r': '', 'h': sha256(s.l || a.h || s.r)}}).h AS folded_root FROM leaves x LEFT JOIN proofs USING (name)
+)
+SELECT doc_id, f.node AS leaf, roots.node AS subroot, high.node AS root, proof_sha256, folded_root, folded_root = high.node AS verified
+FROM folded f JOIN roots ON roots.name IS NOT DISTINCT FROM f.source JOIN high ON high.n = 1""",
+    "op13_hard_negatives": """
+WITH rows_ AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS MATERIALIZED (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, cast(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+    FROM rows_ a JOIN rows_ b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), near AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, cast(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM near JOIN scores USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 10""",
     "op8_exact_dedup": r"""
 WITH norm AS (
     SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents

@@ -47,12 +47,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A path in the shared checkpoint folder that nobody uses yet."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``; the table is compressed, is read by column, and the optimiser knows its size.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,30 +1,37 @@
 """Exact duplicates: binary-fuse filters of an immutable snapshot screen the digests of a new batch.
 
-A snapshot's digests are dealt into buckets of about ``KEYS_PER_FILTER``; each bucket has one static filter (three
-slots a key, eight-bit fingerprints), which is built once and never changed. A digest of the new batch meets the filter
-of its bucket only. What the filter rejects is new for certain; what it lets through joins the exact bucket, and then the
-texts themselves are compared. Duplicates inside the new batch are grouped on their own, before they are screened.
+A snapshot is a folder written once: its digests, dealt into buckets of about ``KEYS_PER_FILTER``, and for each bucket one
+static filter (three slots a key, eight-bit fingerprints) that is never changed. A digest of a new batch meets the filter of
+its bucket only; filters of bounded total size travel to the tasks, so digests stay where they are. What the filter rejects is
+new for certain; what it lets through joins the exact bucket, and then the texts themselves are compared. Duplicates inside
+the new batch are grouped on their own, before they are screened.
 
 Texts are equal when they are identical without their white space. Of equal texts the row with the most code points
-stays, then the smallest ``doc_id`` (a null id comes last), then the first row read. Null text counts as empty.
-Rows that repeat id and text count as rows of their own, and only one of them is kept.
+stays, then the smallest ``doc_id`` (a null id comes last), then the row that stands first in the files. Null text counts as
+empty. Rows that repeat id and text count as rows of their own, and only one of them is kept. Texts of any length are compared
+whole, in the tasks that hold them: only texts of groups travel, and those of a large group in lanes that each have the text
+that stays. An empty table gives an empty result. Further columns stay what they are.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabaudit.llm.common import require, squeezed, text_of
-from tabaudit.session import written
+from tabaudit.llm.common import squeezed, text_of
+from tabaudit.llm.places import PLACE, kept, located, numbered_rows
+from tabaudit.session import fresh_path, written
 
-#: Snapshot digests that share one filter, on average.
-KEYS_PER_FILTER = 4096
+#: Snapshot digests that share one filter, on average, and the filters that travel to every task, in bytes.
+KEYS_PER_FILTER, FILTER_BYTES = 4096, 1 << 26
+#: Texts of a group that are compared in one task; larger groups are cut into so many times more lanes.
+LANE_ROWS, LANE_STEP = 1024, 16
 
 
 def sha256(text: Column) -> Column:
@@ -110,95 +117,121 @@ def snapshot_filters(classes: DataFrame) -> DataFrame:
     return classes.select("bucket", "key").groupBy("bucket").applyInPandas(build, "bucket long, body binary")
 
 
-def screened(classes: DataFrame, filters: DataFrame) -> DataFrame:
-    """``(digest, hit)``: the digests of a batch against the filters of their buckets."""
+# --- snapshots -------------------------------------------------------------------------------------------------------
+
+
+def write_snapshot(classes: DataFrame, path: str) -> None:
+    """Write a snapshot of ``classes(digest, ...)``: ``path/classes`` with ``key`` and ``bucket``, and ``path/filters``.
+
+    Both are immutable: writing to a snapshot that is there already is an error.
+    """
+    keyed = classes.withColumn("key", F.xxhash64("digest"))
+    n_buckets = max(1, math.ceil(classes.count() / KEYS_PER_FILTER))
+    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(n_buckets)))
+    keyed.write.mode("error").parquet(f"{path}/classes")
+    filters = snapshot_filters(classes.sparkSession.read.schema(keyed.schema).parquet(f"{path}/classes"))
+    filters.withColumn("n_buckets", F.lit(n_buckets)).write.mode("error").parquet(f"{path}/filters")
+
+
+def known_digests(batch: DataFrame, path: str) -> DataFrame:
+    """``digest``: those of ``batch(digest)`` that the filters of a snapshot let through. Every digest of the snapshot is."""
+    spark = batch.sparkSession
+    filters = spark.read.schema("bucket long, body binary, n_buckets int").parquet(f"{path}/filters")
+    total, n_buckets = filters.agg(F.sum(F.length("body")), F.max("n_buckets")).first()
+    if n_buckets is None:
+        return batch.select("digest").where("false")
+    keyed = batch.select("digest", F.xxhash64("digest").alias("key"))
+    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(n_buckets)))
+    if total <= FILTER_BYTES:
+        held = spark.sparkContext.broadcast({row["bucket"]: bytes(row["body"]) for row in filters.toLocalIterator()})
+
+        def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys, buckets = (batch.column(c).to_numpy() for c in ("key", "bucket"))
+                hit = np.zeros(batch.num_rows, bool)
+                order = np.argsort(buckets, kind="stable")
+                for rows in np.split(order, np.flatnonzero(np.diff(buckets[order])) + 1):
+                    body = held.value.get(int(buckets[rows[0]])) if len(rows) else None
+                    if body:
+                        hit[rows] = probe_filter(body, keys[rows].view(np.uint64))
+                yield pa.RecordBatch.from_arrays([batch.column("digest").filter(pa.array(hit))], ["digest"])
+
+        return keyed.mapInArrow(screen, "digest binary")
 
     def probe(group: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         keys = group["key"].to_numpy(np.int64).view(np.uint64)
         hit = probe_filter(held["body"].iloc[0], keys) if len(held) else np.zeros(len(keys), bool)
-        return pd.DataFrame({"digest": group["digest"], "hit": hit})
+        return pd.DataFrame({"digest": group["digest"][hit]})
 
-    left = classes.select("bucket", "key", "digest").groupBy("bucket")
-    return left.cogroup(filters.groupBy("bucket")).applyInPandas(probe, "digest binary, hit boolean")
+    return keyed.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInPandas(probe, "digest binary")
 
 
 # --- groups ----------------------------------------------------------------------------------------------------------
 
 
 def _classes(rows: DataFrame, *by: str) -> DataFrame:
-    """One line for each digest: number of rows and the row that stays. Partial sums keep hot digests small."""
-    best = F.max(F.struct("n_points", F.bitwise_not("doc_id").alias("low_id"), F.bitwise_not("row_no").alias("low_row")))
+    """One line for each digest: number of rows and the row that stays. Partial minima keep hot digests small."""
+    best = F.min(F.struct((-F.col("n_points")).alias("low"), F.col("doc_id").isNull().alias("no_id"), "doc_id", *PLACE))
     return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
 
 
 def _answer(rows: DataFrame, classes: DataFrame, on: list[str]) -> DataFrame:
-    return rows.join(classes, on).select(
-        "doc_id",
-        F.bitwise_not(F.col("best.low_id")).alias("keep_id"),
-        F.col("n").alias("group_size"),
-        (F.bitwise_not(F.col("best.low_row")) == F.col("row_no")).alias("kept"),
-        "digest",
-    )
+    stays = (F.col("best.__file") == F.col("__file")) & (F.col("best.__row") == F.col("__row"))
+    return rows.join(classes, on).select("doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"), stays.alias("kept"), "digest", *PLACE)
+
+
+def _lanes(level: Column) -> Column:
+    return F.greatest(F.pow(F.lit(float(LANE_STEP)), level - 1).cast("long"), F.lit(1).cast("long"))
+
+
+def _differing(rows: DataFrame, located_docs: DataFrame, classes: DataFrame, digest: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """The texts of groups of several rows, and the digests that stand for different texts.
+
+    What a row is (level of its group's size, and whether it stays) comes back by its place, so the rest of the texts isn't read.
+    """
+    level = 1 + F.greatest(F.lit(0), F.ceil(F.log(F.col("n") / LANE_ROWS) / math.log(LANE_STEP))).cast("int")
+    several = rows.join(classes.where("n > 1").select("digest", level.alias("level"), "best"), "digest")
+    stays = ((F.col("best.__file") == F.col("__file")) & (F.col("best.__row") == F.col("__row"))).cast("int")
+    texts = numbered_rows(located_docs.select("doc_id", "text", *PLACE), several.select(*PLACE, (2 * F.col("level") + stays).alias("number")), "kind", 31)
+    norm = squeezed(text_of())
+    texts = texts.select(F.col("doc_id").cast("long").alias("doc_id"), norm.alias("norm"), digest(norm).alias("digest"), F.length(text_of()).alias("n_points"), *PLACE, "kind")
+    texts = texts.withColumn("lanes", _lanes(F.floor(F.col("kind") / 2)))
+    dealt = texts.where("kind % 2 = 0").withColumn("lane", F.pmod(F.xxhash64(*PLACE), "lanes"))
+    keepers = texts.where("kind % 2 = 1").select("digest", F.col("norm").alias("norm_kept"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)).alias("lane"))
+    differ = dealt.join(keepers, ["digest", "lane"]).where("norm <> norm_kept").select("digest").distinct()
+    return texts.drop("kind", "lanes"), written(differ)
 
 
 def exact_groups(docs: DataFrame, in_snapshot: Column, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, digest``, one row for each row of ``docs``.
+    """``doc_id, keep_id, group_size, kept, digest, PLACE``, one row for each row of ``docs``.
 
     ``in_snapshot`` tells the rows of the snapshot from those of the new batch; null counts as new. ``digest`` may be
     any function of the normalised text: texts with the same digest but different bytes are told apart in the end.
     """
-    narrow = require(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        digest(squeezed(text_of())).alias("digest"),
-        F.length(text_of()).alias("n_points"),
-        F.coalesce(in_snapshot, F.lit(False)).alias("old"),
-    )
-    rows = written(narrow.withColumn("row_no", F.monotonically_increasing_id()))
-
-    sides = written(_classes(rows, "old", "digest").withColumn("key", F.xxhash64("digest")))
-    n_buckets = max(1, math.ceil(sides.where("old").count() / KEYS_PER_FILTER))
-    sides = sides.withColumn("bucket", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(n_buckets)))
-    snapshot, batch = sides.where("old"), sides.where("NOT old")
-    hits = screened(batch, snapshot_filters(snapshot)).where("hit").select("digest")
+    flagged = located(docs.select("doc_id", "text", F.coalesce(in_snapshot, F.lit(False)).alias("old")))
+    narrow = flagged.select(F.col("doc_id").cast("long").alias("doc_id"), digest(squeezed(text_of())).alias("digest"), F.length(text_of()).alias("n_points"), "old", *PLACE)
+    rows = written(narrow)
+    path = fresh_path(docs.sparkSession)
+    write_snapshot(_classes(rows.where("old"), "digest"), path)
+    snapshot = docs.sparkSession.read.parquet(f"{path}/classes").select("digest", "n", "best")
+    batch = written(_classes(rows.where("NOT old"), "digest"))
+    hits = written(known_digests(batch, path))
     found = batch.join(hits, "digest", "left_semi").select("digest", F.col("n").alias("n_new"), F.col("best").alias("best_new"))
-    known = snapshot.join(found, "digest", "left").select(
-        "digest", (F.col("n") + F.coalesce("n_new", F.lit(0))).alias("n"), F.greatest("best", "best_new").alias("best"), F.isnotnull("n_new").alias("met")
-    )
-    known = written(known)
-    met = known.where("met").select("digest")
-    classes = written(known.select("digest", "n", "best").unionByName(batch.join(met, "digest", "left_anti").select("digest", "n", "best")))
-
-    # Byte check: the texts of classes with several rows against the text of the row that stays.
-    several = classes.where("n > 1").select("digest", "best")
-    texts = require(docs, "doc_id", "text").select(
-        F.col("doc_id").cast("long").alias("doc_id"), squeezed(text_of()).alias("norm"), F.length(text_of()).alias("n_points")
-    )
-    members = written(
-        texts.withColumn("digest", digest(F.col("norm"))).join(several, "digest").withColumn("row_no", F.monotonically_increasing_id())
-    )
-    stays = members.where(F.bitwise_not("doc_id").eqNullSafe(F.col("best.low_id")) & (F.col("n_points") == F.col("best.n_points")))
-    stays = stays.groupBy("digest").agg(F.max("norm").alias("norm_kept"))
-    differ = written(members.join(stays, "digest").where("norm <> norm_kept").select("digest").distinct())
+    met = written(snapshot.join(found, "digest").select("digest", (F.col("n") + F.col("n_new")).alias("n"), F.least("best", "best_new").alias("best")))
+    apart = snapshot.unionByName(batch).join(met.select("digest"), "digest", "left_anti")
+    classes = written(met.unionByName(apart))
+
+    texts, differ = _differing(rows, flagged, classes, digest)
     if differ.isEmpty():
         return _answer(rows, classes, ["digest"])
     plain = _answer(rows.join(differ, "digest", "left_anti"), classes, ["digest"])
-    mixed = members.join(differ, "digest", "left_semi").drop("best")
+    mixed = texts.join(differ, "digest", "left_semi")
     return plain.unionByName(_answer(mixed, _classes(mixed, "digest", "norm"), ["digest", "norm"]))
 
 
 def without_copies(docs: DataFrame, in_snapshot: Column) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    groups = written(exact_groups(docs, in_snapshot).select("doc_id", "kept", F.col("digest").alias("digest")))
-    seen = groups.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("times"), F.max("kept").alias("kept"))
-    stays = written(seen.where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("digest").alias("_keep_digest"), "times"))
-    keyed = docs.withColumn("_row_digest", sha256(squeezed(text_of())))
-
-    def kept(which: str) -> DataFrame:
-        same = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_row_digest") == F.col("_keep_digest"))
-        return keyed.join(stays.where(which).drop("times"), same, "left_semi")
-
-    once = kept("times = 1")
-    if stays.where("times > 1").isEmpty():
-        return once.drop("_row_digest")
-    # Rows that repeat both id and text: one of them.
-    return once.unionByName(kept("times > 1").dropDuplicates(["doc_id", "_row_digest"])).drop("_row_digest")
+    """The rows of ``docs`` that stay, with all their columns; they are filtered where they are."""
+    columns = docs.columns
+    rows = located(docs.withColumn("__m_old", in_snapshot))
+    stays = exact_groups(rows, F.col("__m_old")).where("kept")
+    return kept(rows, stays).select(*[F.col(f"`{c}`") for c in columns])

@@ -4,8 +4,8 @@ Every source gets a target number of words; a source with ``s`` words and target
 times on average. The whole part is taken for certain. The fractional parts are rounded in pairs: words are moved at random
 from one document's expectation to the other's until one of the two is taken a whole number of times, so that expectations
 stay what they are and the words of each pair are kept. What is left over from a group, one document, is combined with the
-leftovers of other groups in a reduction tree; only the last leftover of a source is rounded by itself, and the words that
-this adds or lacks are evened out by other documents of its last group, the largest that fit.
+leftovers of other groups in a reduction tree; only the last leftover of a source is rounded by itself, so the words taken from
+a source miss its target by less than that document.
 
 Groups are formed by a hash of the document and are paired from the largest document to the smallest, so that the last
 leftover is a small one. All randomness comes from the seed and the data: reruns agree on any cluster.
@@ -22,7 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabaudit.llm.common import require, text_of, word_count
+from tabaudit.llm.common import text_of, word_count
+from tabaudit.llm.places import PLACE, located, numbered_rows
 from tabaudit.operators.ranking import numbered
 from tabaudit.session import written
 
@@ -85,12 +86,7 @@ def pivot(mass: np.ndarray, chance: np.ndarray, random: np.random.Generator, las
         else:
             held = other
     if last and held >= 0:
-        rounded = float(draws[-1] < chance[held])
-        lack, chance[held] = mass[held] * (chance[held] - rounded), rounded
-        for k in range(len(chance)):  # even out what this rounding adds or lacks
-            if k != held and 0 < mass[k] <= abs(lack) and chance[k] == (0.0 if lack > 0 else 1.0):
-                chance[k] = 1.0 - chance[k]
-                lack += mass[k] if lack < 0 else -mass[k]
+        chance[held] = float(draws[-1] < chance[held])
     return chance
 
 
@@ -120,12 +116,13 @@ def _rounded(units: DataFrame, seed: int) -> DataFrame:
     return done
 
 
-def copies(docs: DataFrame, share: float = 1.0, most: int = 2, weight: Column | None = None, seed: int = 7) -> DataFrame:
+def copies(docs: DataFrame, share: float = 1.0, most: int = 2, weight: Column | None = None, seed: int = 7, along: list[str] | None = None) -> DataFrame:
     """``doc_id, source, size, rank, source_size, target, copies``: how often each document is taken, a line for each row of ``docs``.
 
     ``share`` is the size of the mix as a part of all words, ``weight`` an expression over ``source`` and ``rank`` (default: equal).
+    Columns named in ``along`` come along.
     """
-    rows = require(docs, "doc_id", "text", "source").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size"), *(along or []))
     rows = written(rows)
     targets = written(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, most, F.lit(1.0) if weight is None else weight))
     units = rows.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("rows"))
@@ -149,10 +146,10 @@ def copies(docs: DataFrame, share: float = 1.0, most: int = 2, weight: Column |
 
 
 def mixture(docs: DataFrame, share: float = 1.0, most: int = 2, weight: Column | None = None, seed: int = 7) -> DataFrame:
-    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns."""
-    taken = copies(docs, share, most, weight, seed).where("copies > 0")
-    taken = written(taken.select(F.col("doc_id").alias("_m_id"), F.col("source").alias("_m_source"), F.col("size").alias("_m_size"), F.col("copies").alias("_m_copies")).distinct())
-    sized = docs.withColumn("_m_words", word_count(text_of()))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_m_id")) & F.col("source").eqNullSafe(F.col("_m_source")) & (F.col("_m_words") == F.col("_m_size"))
-    repeated = sized.join(taken, same).withColumn("_m_copy", F.explode(F.sequence(F.lit(1), F.col("_m_copies"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The mix itself: each row of ``docs`` as often as it is taken, with all its columns; rows are multiplied where they are."""
+    columns = docs.columns
+    rows = located(docs)
+    taken = copies(rows, share, most, weight, seed, PLACE).select(*PLACE, F.col("copies").alias("number"))
+    repeated = numbered_rows(rows, taken, "__m_copies", most)
+    repeated = repeated.withColumn("__m_copy", F.explode(F.sequence(F.lit(1), F.col("__m_copies"))))
+    return repeated.select(*[F.col(f"`{c}`") for c in columns])

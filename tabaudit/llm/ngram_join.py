@@ -28,10 +28,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tabaudit.llm.common import require, text_of
+from tabaudit.llm.common import text_of
 from tabaudit.llm.components import components
+from tabaudit.llm.places import PLACE, kept, located
 from tabaudit.llm.shingles import set_print, shingle_sets
 from tabaudit.llm.signature_tree import Groups, Level, Tree, bitmap, dual_links, dual_pairs, folded, lowest_labels, possible, width_of
 from tabaudit.session import written
@@ -51,10 +53,12 @@ PARCEL_MEMBERS, PARCEL_SHINGLES = 4096, 1 << 20
 
 
 def _scanned(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, fp, bits`` of every row, and from each task its part of the sketch (``block, counts``)."""
+    """``n, fp, bits`` and all columns but the text of every row, and from each task its part of the sketch (``block, counts``)."""
+    own = [T.StructField(f.name, f.dataType) for f in docs.schema.fields if f.name != "text"]
+    schema = T.StructType([*own, *T.StructType.fromDDL("n long, fp long, bits binary, block int, counts binary").fields])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, names = np.zeros(CELLS, np.int32), ["doc_id", "n", "fp", "bits", "block", "counts"]
+        counts, names = np.zeros(CELLS, np.int32), [*[f.name for f in own], "n", "fp", "bits", "block", "counts"]
         for batch in batches:
             sizes, prints, bits, seen = [], [], [], [np.zeros(0, np.uint64)]
             for shingles in shingle_sets(batch.column("text"), width):
@@ -64,15 +68,17 @@ def _scanned(docs: DataFrame, width: int) -> DataFrame:
                 seen.append(shingles[: np.searchsorted(shingles, LOW_RANGE)] >> np.uint64(SKETCH_SHIFT))
             np.add.at(counts, np.concatenate(seen).astype(np.int64), 1)
             n = len(sizes)
+            kept = [batch.column(f.name) for f in own]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(bits, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names
+                [*kept, pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(bits, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names
             )
         blocks, none = counts.reshape(SKETCH_BLOCKS, -1), pa.nulls(SKETCH_BLOCKS, pa.int64())
+        empty = [pa.nulls(SKETCH_BLOCKS, pa.string() if f.dataType == T.StringType() else pa.int64()) for f in own]
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.nulls(SKETCH_BLOCKS, pa.binary()), pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], names
+            [*empty, none, none, pa.nulls(SKETCH_BLOCKS, pa.binary()), pa.array(range(SKETCH_BLOCKS), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], names
         )
 
-    return docs.mapInArrow(scan, "doc_id long, n long, fp long, bits binary, block int, counts binary")
+    return docs.mapInArrow(scan, schema)
 
 
 def _sketch(scanned: DataFrame) -> np.ndarray:
@@ -365,9 +371,14 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
 
     ``n_links`` counts the links found at the document's class; links span each component.
     """
-    docs = require(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    return _linked(docs, width, percent, []).drop("component")
+
+
+def _linked(docs: DataFrame, width: int, percent: int, along: list[str]) -> DataFrame:
+    """The components with a number of their own, ``component`` (null for an empty set), and the columns named in ``along``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), *along)
     scanned = written(_scanned(docs, width))
-    rows = scanned.where("block IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "fp")
+    rows = scanned.where("block IS NULL").select("doc_id", F.col("n").alias("n_shingles"), "fp", *along)
     classes = rows.where("fp IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
 
     cells = written(_dealt(_cells(_standing(docs, width, percent, _sketch(scanned))), percent))
@@ -390,16 +401,19 @@ def linked_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Dat
     named = classes.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     named = written(named)
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    answer = named.join(names, "component").join(degrees, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    answer = named.join(names, "component").join(degrees, "fp", "left").select("fp", "component", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     return rows.join(answer, "fp", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
+        "doc_id", "n_shingles", F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component", *along,
+    )
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: the smallest ``doc_id`` of each component.
-
-    Of a component without any ``doc_id`` all rows stay, as nothing tells them apart.
+    """The rows of ``docs`` that stay, with all their columns: of each component the smallest ``doc_id`` (null last), then the row
+    that stands first in the files. Rows are filtered where they are.
     """
-    found = linked_components(docs, width, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(written(found), F.col("doc_id").cast("long").eqNullSafe(F.col("_stays")), "left_semi")
+    columns, rows = docs.columns, located(docs)
+    found = written(_linked(rows, width, percent, PLACE).select("doc_id", "component", *PLACE))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *PLACE)).alias("first")
+    stays = found.where("component IS NOT NULL").groupBy("component").agg(first).select(*[F.col(f"first.{c}").alias(c) for c in PLACE])
+    return kept(rows, stays.unionByName(found.where("component IS NULL").select(*PLACE))).select(*[F.col(f"`{c}`") for c in columns])

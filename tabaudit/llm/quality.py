@@ -177,27 +177,42 @@ def fit(examples: DataFrame, prior: float) -> np.ndarray:
     return w
 
 
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted``, one row for each row of ``docs``."""
+def _weights(rows: DataFrame, prior: float | None) -> np.ndarray:
+    return fit(rows, prior if prior is not None else 0.5)
+
+
+def _examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None]:
+    """``doc_id, x, positive`` of every row, and the prior."""
     known = require(labels, "doc_id", "quality").where(~held_out(F.col("doc_id"))).where("doc_id IS NOT NULL AND quality IS NOT NULL")
     known = known.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min("quality").alias("quality"))
     prior = known.agg(F.avg(F.col("quality").cast("double"))).first()[0]
     rows = written(with_features(docs).join(known, F.col("doc_id") == F.col("label_id"), "left").select("doc_id", "x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive")))
-    weights = fit(rows, prior if prior is not None else 0.5)
+    return rows, prior
+
+
+def _chances(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x.astype(float) @ weights, -50, 50)))
+
+
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, held_out, score, predicted``, one row for each row of ``docs``."""
+    rows, prior = _examples(docs, labels)
+    weights = _weights(rows, prior)
 
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
-        g = np.frombuffer(b"".join(x), np.float32).reshape(len(x), WIDTH).astype(float) @ weights
-        return pd.Series(1 / (1 + np.exp(-np.clip(g, -50, 50))))
+        return pd.Series(_chances(np.frombuffer(b"".join(x), np.float32).reshape(len(x), WIDTH), weights))
 
     found = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("x").alias("score"))
     return found.withColumn("predicted", F.when(F.col("score") >= 0.5, F.lit(1)).otherwise(F.lit(0)))
 
 
 def without_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns.
+    """The rows of ``docs`` that the classifier accepts, with all their columns; each is scored and filtered where it is."""
+    weights = _weights(*_examples(docs, labels))
+
+    @F.arrow_udf("boolean")
+    def accepted(text: pa.Array) -> pa.Array:
+        return pa.array(_chances(features(text), weights) >= 0.5)
 
-    Rows with the same id stay or go together: they go only if all of them are rejected.
-    """
-    stays = written(scored(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_stays")).distinct())
-    return docs.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_stays")), "left_semi")
+    return docs.where(accepted(text_of()))

@@ -41,9 +41,11 @@ ANCHORS = 1 << 14
 #: Rows of the first look.
 FIRST_ROWS = 1 << 14
 #: Anchors and rows that are compared at once.
-TILE_ANCHORS, TILE_ROWS = 512, 2048
+TILE_ANCHORS, TILE_ROWS = 512, 1024
+#: Pairs whose numbers are laid side by side at once: 16 MB with 64 of them.
+SLICE_PAIRS = 1 << 14
 #: Pairs that a task holds before it keeps the best ones only.
-HELD_PAIRS = 1 << 19
+HELD_PAIRS = 1 << 18
 NO_ID = np.iinfo(np.int64).max
 LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
@@ -135,13 +137,22 @@ def _left(anchors: Vectors, rows: Vectors, low: np.ndarray, high: np.ndarray, pa
         if len(a) * 8 > len(anchors.ids) * len(rows.ids):  # many are left: products of whole tables
             middle, spread = (anchors.means[level] @ rows.means[level].T)[a, b], (anchors.deviations[level] @ rows.deviations[level].T)[a, b]
         else:
-            middle = np.einsum("ij,ij->i", anchors.means[level][a], rows.means[level][b])
-            spread = np.einsum("ij,ij->i", anchors.deviations[level][a], rows.deviations[level][b])
+            middle = _products(anchors.means[level], rows.means[level], a, b)
+            spread = _products(anchors.deviations[level], rows.deviations[level], a, b)
         alive = _meets(middle, spread, low[a], high[a])
         a, b = a[alive], b[alive]
     return a, b
 
 
+def _products(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``a`` of one table with the rows ``b`` of another, pair by pair, some pairs at a time."""
+    out = np.zeros(len(a), left.dtype)
+    for start in range(0, len(a), SLICE_PAIRS):
+        part = slice(start, start + SLICE_PAIRS)
+        np.einsum("ij,ij->i", left[a[part]], right[b[part]], out=out[part])
+    return out
+
+
 def _meets(middle: np.ndarray, spread: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Whether ``middle`` plus or minus ``spread`` meets one of the ranges on the last axis; a hair is added for rounding."""
     spread = spread + 1e-9 * (np.abs(middle) + spread) + 1e-3
@@ -170,7 +181,7 @@ class Best:
             a, b = _left(anchors, rows, low, high, pairs)
             if not len(a):
                 continue
-            score = np.einsum("ij,ij->i", anchors.numbers[a].astype(np.int64), rows.numbers[b].astype(np.int64))
+            score = _products(anchors.numbers.astype(np.int64), rows.numbers.astype(np.int64), a, b)
             for slot in range(low.shape[1]):
                 hit = (score >= low[a, slot]) & (score <= high[a, slot])
                 if hit.any():

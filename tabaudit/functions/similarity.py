@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabaudit.functions.subsequence import Strings, scores
 from tabaudit.functions.text import sort_tokens
 
 
@@ -56,22 +58,41 @@ def ratio(a: str, b: str) -> int:
 
 def row_set_similarity(rows_a: Sequence[str], rows_b: Sequence[str]) -> float:
     """Mean best match of A in B and of B in A, averaged."""
-    if len(rows_a) == 0 or len(rows_b) == 0:
-        return 0.0
-    scores = [[ratio(a, b) for b in rows_b] for a in rows_a]
-    forward = sum(max(line) for line in scores) / len(rows_a)
-    backward = sum(max(column) for column in zip(*scores)) / len(rows_b)
-    return (forward + backward) / 2
+    return float(row_set_similarities([rows_a], [rows_b])[0])
+
+
+def row_set_similarities(sets_a: Sequence[Sequence[str]], sets_b: Sequence[Sequence[str]]) -> np.ndarray:
+    """The same for many pairs of sets; all their row pairs are scored together. An empty set is similar to nothing."""
+    n_a, n_b = (np.fromiter(map(len, sets), np.int64, len(sets)) for sets in (sets_a, sets_b))
+    numbers: dict[str, int] = {}
+    at_a, at_b = ([numbers.setdefault(row, len(numbers)) for rows in sets for row in rows] for sets in (sets_a, sets_b))
+    block = np.repeat(np.arange(len(n_a)), n_a * n_b)
+    inside = np.arange(len(block)) - np.repeat(np.cumsum(n_a * n_b) - n_a * n_b, n_a * n_b)
+    line, column = (np.cumsum(n_a) - n_a)[block] + inside // np.maximum(n_b[block], 1), (np.cumsum(n_b) - n_b)[block] + inside % np.maximum(n_b[block], 1)
+    strings, pairs = Strings(list(numbers)), np.stack([np.asarray(at_a, np.int64)[line], np.asarray(at_b, np.int64)[column]])
+    different, back = np.unique(pairs, axis=1, return_inverse=True)
+    score = scores(strings, different[0], strings, different[1])[back.ravel()].astype(float) if len(block) else np.zeros(0)
+    out = np.zeros(len(n_a))
+    for ends, count in ((line, n_a), (column, n_b)):
+        best = np.zeros(int(count.sum()))
+        np.maximum.at(best, ends, score)
+        sums = np.bincount(np.repeat(np.arange(len(count)), count), weights=best, minlength=len(count))
+        out += sums / np.maximum(count, 1) / 2
+    return np.where((n_a > 0) & (n_b > 0), out, 0.0)
 
 
 @F.pandas_udf(T.IntegerType())
 def _ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b)], dtype="Int32")
+    known = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), None, object)
+    pairs = np.arange(known.sum())
+    out[known] = scores(Strings(a[known].tolist()), pairs, Strings(b[known].tolist()), pairs)
+    return pd.Series(out, dtype="Int32")
 
 
 @F.pandas_udf(T.DoubleType())
 def row_set_similarity_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([row_set_similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+    return pd.Series(row_set_similarities(a.tolist(), b.tolist()), dtype="float64")
 
 
 def indel_ratio(a: Column, b: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabaudit.functions.text import sort_tokens
 from tabaudit.operators.fuzzy_join import check_threshold, similar_pairs
-from tabaudit.operators.grid import best_in_grid
+from tabaudit.operators.tiles import best_matches
 
 def old_titles(ready: DataFrame) -> DataFrame:
     """Distinct ``(old_id, old_title, file_order, tokens)`` of the ready rows."""
@@ -75,14 +75,13 @@ def automap_unmapped(
 ) -> DataFrame:
     """Old titles without a mapping, with the best title found below the threshold and its score.
 
-    A best match without a lower limit has no join key: every title is compared with every target. The comparison
-    is laid out as a grid of bounded cells, so no cell grows with the data and only the best line of a cell leaves it.
+    A best match without a lower limit has no join key. Targets lie in tiles of bounded size under a tree of bounds; a title meets
+    the most promising tile first, and then only tiles that can still beat what it has found.
     """
     old, targets = old_titles(ready), _targets(_open_targets(catalog, done))
     rest = old.join(mapping.select("old_id", "old_title").distinct(), ["old_id", "old_title"], "left_anti")
-    left = rest.select(F.lit(0).alias("block"), F.col("tokens").alias("text")).distinct()
-    right = targets.select(F.lit(0).alias("block"), F.col("tokens").alias("text"), F.col("target.ord").alias("ord"))
-    best = best_in_grid(left, right).join(targets.withColumnRenamed("tokens", "best_text"), "best_text")
+    right = targets.select(F.col("tokens").alias("text"), F.col("target.ord").alias("ord"))
+    best = best_matches(rest.select(F.col("tokens").alias("text")), right).join(targets.withColumnRenamed("tokens", "best_text"), "best_text")
     best = best.select(F.col("text").alias("tokens"), F.col("target.judul").alias("judul"), "score")
     return rest.join(best, "tokens", "left").select(
         "old_id",

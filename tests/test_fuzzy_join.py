@@ -2,12 +2,15 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tabaudit.functions.similarity import lcs_length, ratio, row_set_similarity
 from tabaudit.operators.fuzzy_join import check_threshold, length_bands, similar_pairs
-from tabaudit.operators.grid import best_in_grid
+from tabaudit.functions.subsequence import Strings, common_lengths
+from tabaudit.operators import leaders as leading
+from tabaudit.operators import tiles
 
 
 def plain_lcs(a, b):
@@ -76,15 +79,66 @@ def test_two_sided_join_finds_every_pair(spark, threshold):
     assert got == {(a, b, ratio(a, b)) for a in left for b in right if ratio(a, b) >= threshold}
 
 
-def test_grid_finds_the_first_best_with_small_cells(spark):
-    left, right = strings(3, 30), strings(4, 50)
-    a = spark.createDataFrame([(0, text) for text in left], "block int, text string")
-    b = spark.createDataFrame([(0, text, i) for i, text in enumerate(right)], "block int, text string, ord long")
-    got = {r.text: (r.best_text, r.score) for r in best_in_grid(a, b, cell=7).collect()}
+def test_best_match_is_the_first_best_with_small_tiles(spark, monkeypatch):
+    for name, value in {"TILE": 8, "TILE_LENGTH": 30, "LANE": 5, "TRIES": 3, "NODE": 2, "LINES": 7}.items():
+        monkeypatch.setattr(tiles, name, value)
+    left, right = strings(3, 60) + ["#", ""], strings(4, 90)
+    a = spark.createDataFrame([(text,) for text in left + left[:3]], "text string")
+    b = spark.createDataFrame([(text, 1000 - i) for i, text in enumerate(right)], "text string, ord long")
+    got = {r.text: (r.best_text, r.score) for r in tiles.best_matches(a, b).collect()}
     for text in left:
-        best = max(range(len(right)), key=lambda i: (ratio(text, right[i]), -i))
+        best = max(range(len(right)), key=lambda i: (ratio(text, right[i]), i))
         score = ratio(text, right[best])
-        assert got.get(text) == ((right[best], score) if score else None)
+        assert got.get(text) == ((right[best], score) if score and text else None)
+    assert tiles.best_matches(a, b.where("false")).collect() == [] == tiles.best_matches(a.where("false"), b).collect()
+
+
+@pytest.mark.parametrize("threshold", [40, 85])
+def test_pairs_in_small_tiles(spark, monkeypatch, threshold):
+    monkeypatch.setattr(tiles, "TILE", 8)
+    monkeypatch.setattr(tiles, "TILE_LENGTH", 30)
+    monkeypatch.setattr(tiles, "PARCEL_PAIRS", 200)
+    texts = strings(threshold, 150) + ["ä€😀 漢字 " * 3, "ä€😀 漢字 " * 3 + "x"]
+    frame = spark.createDataFrame([(i, 0, i % 3, text) for i, text in enumerate(texts)], "sid long, side int, block int, text string")
+    got = {(r.a_id, r.b_id, r.score) for r in similar_pairs(frame, threshold).collect()}
+    assert got == {(i, j, ratio(a, b)) for i, a in enumerate(texts) for j, b in enumerate(texts) if i < j and i % 3 == j % 3 and ratio(a, b) >= threshold}
+
+
+def test_batched_lengths_equal_single_ones():
+    rng = random.Random(9)
+    for most, letters in ((1, "ab"), (20, "ab"), (70, "abc ä€😀"), (300, "abcdefghij"), (1300, "abc")):
+        left, right = (["".join(rng.choice(letters) for _ in range(rng.randint(0, most))) for _ in range(40)] for _ in range(2))
+        pairs = np.array([(i, j) for i in range(40) for j in range(40) if rng.random() < 0.2])
+        got = common_lengths(Strings(left), pairs[:, 0], Strings(right), pairs[:, 1])
+        assert got.tolist() == [lcs_length(left[i], right[j]) for i, j in pairs]
+
+
+def in_sequence(edges):
+    led = {}
+    for b in sorted({b for _, b in edges}):
+        for a in sorted(a for a, x in edges if x == b):
+            if a not in led:
+                led[b] = a
+                break
+    return led
+
+
+@pytest.mark.parametrize("most", [1 << 20, 30, 3])
+def test_leaders_equal_the_sequential_answer(spark, monkeypatch, most):
+    """All in one task; components in tasks of their own; large components in rounds."""
+    monkeypatch.setattr(leading, "TASK_EDGES", most)
+    rng = random.Random(most)
+    edges = sorted({tuple(sorted((base + rng.randrange(12), base + rng.randrange(12)))) for base in range(0, 300, 12) for _ in range(rng.randrange(1, 9))})
+    edges = [(a, b) for a, b in edges if a < b] + [(1000 + k, 1001 + k) for k in range(25)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    assert {r.member: r.leader for r in leading.leaders(frame).collect()} == in_sequence(edges)
+
+
+def test_leaders_of_a_long_chain(spark):
+    chain = spark.range(10_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = leading.leaders(chain)
+    assert found.where("member <> leader + 1 OR leader % 2 <> 0").count() == 0 and found.count() == 5_000
+    assert leading.leaders(chain.where("false")).collect() == []
 
 
 def test_threshold_checks_and_bands():

@@ -89,7 +89,6 @@ def year_packed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SENTENCE_END = "[.\n]"
 TITLE = r"<title>(.*?)</title>"
-DROPPED = r"(?s)<head.*?</head>|<script.*?</script>|<style.*?</style>|<nav>.*?</nav>"
 
 
 def page_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -148,7 +148,7 @@ numbered AS (SELECT dataset_id, unnest(parts) AS part, generate_subscripts(parts
 sentences AS (SELECT dataset_id, row_no, trim(part) AS teks FROM numbered WHERE row_no >= {first} AND trim(part) <> '')"""
 
 
-PAGE_SENTENCES = _sentences("page_id", f"regexp_replace(regexp_replace(html, '{inputs.DROPPED}', '', 'g'), '<[^>]*>', chr(10), 'g')", "pages", 0)
+PAGE_SENTENCES = _sentences("page_id", "regexp_replace(html, '<[^>]*>', chr(10), 'g')", "pages", 0)
 SENTENCES = _sentences("doc_id", "text", "documents", 1)
 # A sample of five rows can only reach 98 if every row has a match of at least 80 (100 - 5 * 4), so row scores that
 # cannot reach 80 need no exact value.

@@ -210,10 +210,12 @@ class Best:
 
 def _met(store: DataFrame, wanted: Wanted, width: int) -> DataFrame:
     """``place, score, order_id, row_no``: the best rows that each task met, for each anchor and range (``place``)."""
-    shared = store.sparkSession.sparkContext.broadcast(wanted)
+    a = wanted.anchors
+    table = ([a.ids, a.nos, a.labels, a.numbers, a.means, a.deviations], [wanted.low, wanted.high, wanted.most, wanted.same_label])
+    shared = store.sparkSession.sparkContext.broadcast(table)  # plain arrays: workers have no copy of the package
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Best(shared.value)
+        best = Best(Wanted(Vectors(*shared.value[0]), *shared.value[1]))
         for batch in batches:
             for start in range(0, batch.num_rows, TILE_ROWS):
                 best.meet(_unpacked(batch.slice(start, TILE_ROWS), width))

@@ -20,9 +20,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabaudit.llm.common import require, row_slices, text_buffers, text_of
-from tabaudit.llm.shingles import _SPACE, _word_hashes
+from tabaudit.llm.places import PLACE, kept, located
+from tabaudit.llm.shingles import _word_hashes
 from tabaudit.session import written
 
 FOLDS, HELD_OUT = 3, 1
@@ -90,16 +92,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def with_features(docs: DataFrame) -> DataFrame:
-    """``doc_id, x``: the features of every document, packed as four-byte numbers."""
+def with_features(docs: DataFrame, along: list[str] | None = None) -> DataFrame:
+    """``doc_id, x``: the features of every document, packed as four-byte numbers. Columns named in ``along`` come along."""
+    names = ["doc_id", *(along or [])]
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = features(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([row.tobytes() for row in rows], pa.binary())], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array([row.tobytes() for row in rows], pa.binary())], [*names, "x"])
 
-    rows = require(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(make, "doc_id long, x binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(along or []), text_of().alias("text"))
+    return rows.mapInArrow(make, T.StructType([*rows.drop("text").schema.fields, T.StructField("x", T.BinaryType())]))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -177,42 +180,25 @@ def fit(examples: DataFrame, prior: float) -> np.ndarray:
     return w
 
 
-def _weights(rows: DataFrame, prior: float | None) -> np.ndarray:
-    return fit(rows, prior if prior is not None else 0.5)
-
-
-def _examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float | None]:
-    """``doc_id, x, positive`` of every row, and the prior."""
+def scored(docs: DataFrame, labels: DataFrame, along: list[str] | None = None) -> DataFrame:
+    """``doc_id, held_out, score, predicted``, one row for each row of ``docs``. Columns named in ``along`` come along."""
     known = require(labels, "doc_id", "quality").where(~held_out(F.col("doc_id"))).where("doc_id IS NOT NULL AND quality IS NOT NULL")
     known = known.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min("quality").alias("quality"))
     prior = known.agg(F.avg(F.col("quality").cast("double"))).first()[0]
-    rows = written(with_features(docs).join(known, F.col("doc_id") == F.col("label_id"), "left").select("doc_id", "x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive")))
-    return rows, prior
-
-
-def _chances(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x.astype(float) @ weights, -50, 50)))
-
-
-def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted``, one row for each row of ``docs``."""
-    rows, prior = _examples(docs, labels)
-    weights = _weights(rows, prior)
+    made = with_features(docs, along).join(known, F.col("doc_id") == F.col("label_id"), "left")
+    rows = written(made.select("doc_id", *(along or []), "x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive")))
+    weights = fit(rows, prior if prior is not None else 0.5)
 
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:
-        return pd.Series(_chances(np.frombuffer(b"".join(x), np.float32).reshape(len(x), WIDTH), weights))
+        g = np.frombuffer(b"".join(x), np.float32).reshape(len(x), WIDTH).astype(float) @ weights
+        return pd.Series(1 / (1 + np.exp(-np.clip(g, -50, 50))))
 
-    found = rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score("x").alias("score"))
+    found = rows.select("doc_id", *(along or []), held_out(F.col("doc_id")).alias("held_out"), score("x").alias("score"))
     return found.withColumn("predicted", F.when(F.col("score") >= 0.5, F.lit(1)).otherwise(F.lit(0)))
 
 
 def without_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, with all their columns; each is scored and filtered where it is."""
-    weights = _weights(*_examples(docs, labels))
-
-    @F.arrow_udf("boolean")
-    def accepted(text: pa.Array) -> pa.Array:
-        return pa.array(_chances(features(text), weights) >= 0.5)
-
-    return docs.where(accepted(text_of()))
+    """The rows of ``docs`` that the classifier accepts, with all their columns; each is judged by its own text and filtered where it is."""
+    columns, rows = docs.columns, located(docs)
+    return kept(rows, scored(rows, labels, PLACE).where("predicted = 1")).select(*[F.col(f"`{c}`") for c in columns])

@@ -28,9 +28,10 @@ from tokenizers import Tokenizer
 from tabaudit.llm.common import require, text_of
 
 #: Bytes of pre-tokens that a task remembers, and the longest one it does.
-REMEMBERED_BYTES, REMEMBERED_LENGTH = 1 << 25, 64
+REMEMBERED_BYTES, REMEMBERED_LENGTH = 1 << 26, 64
 #: Bytes of ids or texts in a batch on its way back to Spark.
 BATCH_BYTES = 1 << 23
+PLACE_BITS, PLACE_MASK = 40, (1 << 40) - 1
 
 # Letters, digits and marks on whose kind all versions of Unicode agree. Texts with other characters are cut
 # into pre-tokens by the tokenizer file's own rule, which knows the version that the vocabulary was made with.
@@ -70,7 +71,7 @@ class Vocabulary:
         self.known_bytes = 0
 
     def pre_tokens(self, text: str) -> list[str]:
-        if not UNSETTLED.search(text):
+        if text.isascii() or not UNSETTLED.search(text):
             return self.words.findall(text)
         if self.splitter is None:
             self.splitter = Tokenizer.from_file(self.json_path).pre_tokenizer
@@ -113,29 +114,31 @@ def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -
         return symbols
     symbols = list(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = []
-    for at in range(n - 1):
-        found = merges.get((symbols[at], symbols[at + 1]))
-        if found is not None:
-            queue.append((found[0], at, found[1], symbols[at], symbols[at + 1]))
+    # An entry is the rank and the place of a pair in one number.
+    queue = [found[0] << PLACE_BITS | at for at in range(n - 1) if (found := merges.get((symbols[at], symbols[at + 1]))) is not None]
     heapq.heapify(queue)
     while queue:
-        _, at, new, left, right = heapq.heappop(queue)
+        best = heapq.heappop(queue)
+        at = best & PLACE_MASK
         then = after[at]
-        if symbols[at] != left or then >= n or symbols[then] != right:
-            continue  # stale: one of the two was merged meanwhile
+        if then >= n:
+            continue
+        found = merges.get((symbols[at], symbols[then]))
+        if found is None or found[0] != best >> PLACE_BITS:
+            continue  # stale: one of the two was merged meanwhile, and the rank is another pair's
+        new = found[1]
         symbols[at], symbols[then] = new, -1
         far = after[at] = after[then]
         if far < n:
             before[far] = at
             found = merges.get((new, symbols[far]))
             if found is not None:
-                heapq.heappush(queue, (found[0], at, found[1], new, symbols[far]))
+                heapq.heappush(queue, found[0] << PLACE_BITS | at)
         near = before[at]
         if near >= 0:
             found = merges.get((symbols[near], new))
             if found is not None:
-                heapq.heappush(queue, (found[0], near, found[1], symbols[near], new))
+                heapq.heappush(queue, found[0] << PLACE_BITS | near)
     return [s for s in symbols if s >= 0]
 
 

@@ -39,6 +39,8 @@ OCTET = "(?:0++|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9][0-9]?))"
 HIDDEN = "\U0010ffff"
 RUN = r"[\p{L}\x{10FFFF}]{3,}+"
 SUPPORT = 3
+#: Matches whose distances are added up at a time.
+RUN_LENGTH = 64
 GENERALISE, REMOVE = 0.7, 0.9
 
 
@@ -52,11 +54,23 @@ def matches(text: Column, pattern: str, hint: str) -> Column:
     return F.when(text.rlike(hint), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def placed(text: Column, pattern: str, values: Column, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
-    """The wanted matches as an array of ``(at, value)`` with positions in code points: what stands between matches gives the distances."""
-    gaps = F.when(F.size(values) > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
-    pieces = F.zip_with(values, gaps, lambda value, gap: record(value=value, gap=F.length(gap)))
-    pieces = F.filter(pieces, lambda x: x["value"].isNotNull())
+def gaps(text: Column, pattern: str, values: Column) -> Column:
+    """What stands before each match, and after the last."""
+    return F.when(F.size(values) > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
+
+
+def pieces_of(text: Column, pattern: str, values: Column) -> Column:
+    """Each match with the length of the gap before it. A column of its own: :func:`placed` reads it many times."""
+    pieces = F.zip_with(values, gaps(text, pattern, values), lambda value, gap: record(value=value, gap=F.length(gap)))
+    return F.filter(pieces, lambda x: x["value"].isNotNull())
+
+
+def placed(pieces: Column, wanted: Callable[[Column], Column] = lambda value: F.lit(True)) -> Column:
+    """The wanted matches as an array of ``(at, value)`` with positions in code points: what stands between matches gives the distances.
+
+    Distances are added up in runs of ``RUN_LENGTH`` matches and then over the runs, as an array that grows by one element
+    at a time would be copied for each of them.
+    """
     start = record(end=F.lit(0), out=F.array().cast("array<struct<at:int,value:string>>"))
 
     def step(state: Column, x: Column) -> Column:
@@ -64,7 +78,13 @@ def placed(text: Column, pattern: str, values: Column, wanted: Callable[[Column]
         out = F.when(wanted(x["value"]), F.array_append(state["out"], record(at=at, value=x["value"]))).otherwise(state["out"])
         return record(end=at + F.length(x["value"]), out=out)
 
-    return F.aggregate(pieces, start, step, lambda state: state["out"])
+    starts = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces), F.lit(RUN_LENGTH))).otherwise(F.array().cast("array<int>"))
+    runs = F.transform(starts, lambda first: F.aggregate(F.slice(pieces, first, F.lit(RUN_LENGTH)), start, step))
+    based = record(end=F.lit(0), out=F.array().cast("array<struct<base:int,found:array<struct<at:int,value:string>>>>"))
+    runs = F.aggregate(
+        runs, based, lambda state, run: record(end=state["end"] + run["end"], out=F.array_append(state["out"], record(base=state["end"], found=run["out"]))), lambda state: state["out"]
+    )
+    return F.flatten(F.transform(runs, lambda run: F.transform(run["found"], lambda x: record(at=run["base"] + x["at"], value=x["value"]))))
 
 
 def _digits(value: Column) -> Column:
@@ -86,20 +106,22 @@ def base_spans(docs: DataFrame) -> DataFrame:
     rows = require(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     rows = rows.select("*", *[matches(F.col("text"), p, HINTS[k]).alias(f"all_{k}") for k, p in PATTERNS.items()])
 
-    def checked(kind: str) -> Column:
-        return F.filter(placed(F.col("text"), PATTERNS[kind], F.col(f"all_{kind}")), lambda x: valid(kind, x["value"])).alias(kind)
-
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.length("text").alias("n_points"), *[checked(k) for k in PATTERNS])
-    spans = F.concat(*[F.transform(k, lambda s: record(at=s["at"], end=s["at"] + F.length(s["value"]))) for k in PATTERNS])
-    text = own_clear(F.col("text"))
+    rows = rows.select("*", *[pieces_of(F.col("text"), p, F.col(f"all_{k}")).alias(f"pieces_{k}") for k, p in PATTERNS.items()])
 
-    def step(s: Column, x: Column) -> Column:
-        start, end = F.greatest(s["end"], x["at"]), F.greatest(s["end"], x["end"])
-        hidden = F.regexp_replace(F.substring(text, start + 1, end - start), r"\p{L}", HIDDEN)
-        return record(end=end, out=F.concat(s["out"], F.substring(text, s["end"] + 1, start - s["end"]), hidden))
+    def checked(kind: str) -> Column:
+        return F.filter(placed(F.col(f"pieces_{kind}")), lambda x: valid(kind, x["value"])).alias(kind)
 
-    clear = F.aggregate(F.array_sort(spans), record(end=F.lit(0), out=F.lit("")), step, lambda s: F.concat(s["out"], F.substring(text, s["end"] + 1, F.length(text))))
-    return rows.withColumn("clear", F.when(F.size(spans) > 0, clear))
+    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.length("text").alias("n_points"), "all_email", *[checked(k) for k in PATTERNS])
+    # Of the base kinds only e-mails have letters, and all their matches count.
+    hidden = F.zip_with(
+        gaps(F.col("text"), PATTERNS["email"], F.col("all_email")), F.col("all_email"),
+        lambda gap, value: F.concat(own_clear(F.coalesce(gap, F.lit(""))), F.regexp_replace(own_clear(F.coalesce(value, F.lit(""))), r"\p{L}", HIDDEN)),
+    )
+    clear = F.when(F.size("all_email") > 0, F.array_join(hidden, "")).otherwise(own_clear(F.col("text")))
+    found = F.lit(False)
+    for kind in PATTERNS:
+        found = found | (F.size(kind) > 0)
+    return rows.withColumn("clear", F.when(found, clear)).drop("all_email")
 
 
 def own_clear(text: Column) -> Column:
@@ -165,11 +187,12 @@ def spans(docs: DataFrame) -> DataFrame:
     marked = terms.join(told, "term").join(holders.select(*TEXT, *ENTITY), [*TEXT, *ENTITY], "left_semi").groupBy(*TEXT, "term").agg(F.max("ratio").alias("ratio"))
     label = F.when(F.col("ratio") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise"))
     marked = marked.groupBy(*TEXT).agg(F.map_from_entries(F.collect_list(F.struct("term", label.alias("kind")))).alias("told"))
-    found = placed(F.col("clear"), RUN, runs(F.col("clear")), lambda value: F.element_at("told", F.lower(value)).isNotNull())
+    found = placed(F.col("pieces"), lambda value: F.element_at("told", F.lower(value)).isNotNull())
     found = F.transform(found, lambda t: record(kind=F.element_at("told", F.lower(t["value"])), at=t["at"], end=t["at"] + F.length(t["value"])))
     none = F.array().cast("array<struct<kind:string,at:int,end:int>>")
-    rows = base.join(marked, TEXT, "left").withColumn("terms", F.when(F.col("told").isNotNull(), F.sort_array(found)).otherwise(none))
-    return rows.drop("clear", "told")
+    rows = base.join(marked, TEXT, "left").withColumn("pieces", F.when(F.col("told").isNotNull(), pieces_of(F.col("clear"), RUN, runs(F.col("clear")))))
+    rows = rows.withColumn("terms", F.when(F.col("told").isNotNull(), F.sort_array(found)).otherwise(none))
+    return rows.drop("clear", "told", "pieces")
 
 
 def listed(kind: str) -> Column:

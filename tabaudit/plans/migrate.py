@@ -13,6 +13,10 @@ from tabaudit.session import cut_lineage
 from tabaudit.settings import Settings
 
 
+#: Rows of a payload document: bounds what one task gathers. None sends each payload whole, whatever its size.
+ROWS_PER_DOCUMENT = 10_000
+
+
 def key_plan(ready: DataFrame, aliases: dict[str, str], fuzzy_threshold: int = 80, targets: Sequence[str] = ()) -> DataFrame:
     """Key renames before delivery; of keys that end up equal the last one stays."""
     columns = cut_lineage(schema.dataset_columns(pay.unpack_rows(ready).where("row is not null")))
@@ -27,7 +31,7 @@ def plan_batch(
     aliases: dict[str, str],
     settings: Settings = Settings(),
     fuzzy_threshold: int = 80,
-    rows_per_document: int | None = None,
+    rows_per_document: int | None = ROWS_PER_DOCUMENT,
 ) -> dict[str, DataFrame]:
     """Mapping to the targets that are still open, and the payloads for them.
 

@@ -188,6 +188,47 @@ def test_sinks(spark, tmp_path):
     assert [(r.batch_number, r.body.tahun_data) for r in again] == [(3, 2021)]
 
 
+def documents_of(spark, *rows):
+    frame = spark.createDataFrame([(t, o, y, n, {"n": v}) for n, (t, o, y, v) in enumerate(rows)], "target_id string, old_id string, tahun_data int, row_no long, record map<string,string>")
+    return payloads.payload_documents(frame, 2)
+
+
+def test_stopped_batch_resumes_without_doubles_or_gaps(spark, tmp_path, monkeypatch):
+    rows = [("10", "a", 2021, "1"), ("10", "a", 2021, "2"), ("10", "a", 2021, "3"), ("10", "a", 2020, "4"), ("20", "b", 2022, "5"), ("30", "c", 2022, "6")]
+    documents, path = documents_of(spark, *rows), str(tmp_path / "out")
+    with pytest.raises(ValueError):
+        reports.handed_over(spark, path)
+    some = documents.where("target_id = '10'")
+    assert reports.hand_over(some, path, "first") == 3  # two chunks of 2021 and one of 2020
+    # The second run stops after its documents are written and before the manifest has its line.
+    real = spark.createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        reports.hand_over(documents, path, "second")
+    monkeypatch.undo()
+    assert real is not None and reports.handed_over(spark, path).count() == 3
+    assert reports.hand_over(documents, path, "third") == 2
+    assert reports.hand_over(documents, path) == 0
+    out = reports.handed_over(spark, path).where("run <> ''").selectExpr("run", "target_id", "old_id", "tahun_data", "chunk", "to_json(body.data) AS data").collect()
+    assert sorted((r.run, r.target_id, r.old_id or "", r.tahun_data or 0, r.chunk, r.data) for r in out) == [
+        ("first", "10", "a", 2020, 0, '[{"n":"4"}]'), ("first", "10", "a", 2021, 0, '[{"n":"1"},{"n":"2"}]'), ("first", "10", "a", 2021, 1, '[{"n":"3"}]'),
+        ("third", "20", "b", 2022, 0, '[{"n":"5"}]'), ("third", "30", "c", 2022, 0, '[{"n":"6"}]'),
+    ]
+
+
+def test_years_of_the_matrix_come_from_the_data(spark):
+    rows = spark.createDataFrame([("A", "1", 2019), ("A", "1", 2019), ("A", "1", None), ("B", "2", 1875), ("B", "2", 2025)], "Judul_Tabel string, Dataset_Id string, tahun int")
+    found = availability.availability_matrix(rows)
+    assert found.columns[2:] == ["tahun_1875", "tahun_2019", "tahun_2025"]
+    yes, no = availability.AVAILABLE, availability.NOT_AVAILABLE
+    assert {tuple(r) for r in found.collect()} == {("A", "1", no, yes, no), ("B", "2", yes, no, yes)}
+    assert availability.availability_matrix(rows.where("false")).collect() == []
+    many = spark.range(200).selectExpr("'A' AS Judul_Tabel", "'1' AS Dataset_Id", "cast(id AS int) AS tahun")
+    assert set(availability.availability_matrix(many).first()[2:]) == {yes}
+    with pytest.raises(ValueError):
+        availability.years_of(spark.range(2000).selectExpr("cast(id AS int) AS tahun"))
+
+
 def test_nothing_left_to_do(spark):
     ready, targets = ready_of(spark, ("A", "Data Padi", {"thn": "2021"})), targets_of(spark, ("10", "Padi Data"))
     log = tables.complete_progress(log_of(spark, ("10", "done", 5, 1)))

@@ -208,7 +208,7 @@ ORACLES: dict[str, str] = {
     "detail_scan": f"WITH {TURNS} SELECT cast(conv_id AS string) AS dataset_id, cast(turn AS string) AS turn, role, md5(text) AS text_md5 FROM turns",
     "prefix_until_bad_page": f"""WITH {TURNS} SELECT cast(conv_id AS string) AS dataset_id, count(*) AS n_rows, cast(max(turn) AS INTEGER) AS last_turn
  FROM turns WHERE bad IS NULL OR turn < bad GROUP BY 1""",
-    "target_catalog_scan": "SELECT 4294967296 + row_number() OVER (ORDER BY s_suppkey) - 1 AS ord, cast(s_suppkey AS string) AS id, s_name AS judul FROM supplier",
+    "target_catalog_scan": "SELECT 4294967296 + row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 100 ORDER BY s_suppkey) - 1 AS ord, cast(s_suppkey AS string) AS id, s_name AS judul FROM supplier",
     "keyword_filter": f"""SELECT page_id AS ord, cast(page_id AS string) AS id, regexp_extract(html, '{inputs.TITLE}', 1) AS judul FROM pages
  WHERE lower(regexp_extract(html, '{inputs.TITLE}', 1)) LIKE '%the%' OR lower(regexp_extract(html, '{inputs.TITLE}', 1)) LIKE '%aux%'""",
     "catalog_head": "SELECT c_custkey AS ord, 'ds_' || c_custkey AS id, 'Data ' || c_name AS judul FROM customer ORDER BY c_custkey LIMIT 100",
@@ -323,6 +323,8 @@ ORACLES: dict[str, str] = {
     "availability_matrix": "SELECT 'Data ' || o_custkey AS Judul_Tabel, 'ds_' || o_custkey AS Dataset_Id, " + ", ".join(
         f"CASE WHEN bool_or(year(o_orderdate) = {year}) THEN 'Tersedia' ELSE 'Tidak Tersedia' END AS tahun_{year}" for year in range(1997, 2002)
     ) + " FROM orders WHERE year(o_orderdate) BETWEEN 1997 AND 2001 GROUP BY o_custkey",
+    "availability_by_year": """SELECT 'Data ' || o_custkey AS Judul_Tabel, 'ds_' || o_custkey AS Dataset_Id, tahun, CASE WHEN bool_or(year(o_orderdate) = tahun) THEN 'Tersedia' ELSE 'Tidak Tersedia' END AS status
+ FROM orders, (SELECT DISTINCT year(o_orderdate) AS tahun FROM orders WHERE year(o_orderdate) >= 1996) GROUP BY ALL HAVING max(year(o_orderdate)) >= 1996""",
     "keep_last": """SELECT 'ds_' || o_custkey AS Dataset_Id, 'Data ' || o_custkey AS Judul_Tabel, cast(year(o_orderdate) AS INTEGER) AS tahun, o_orderkey AS row_no
  FROM orders WHERE year(o_orderdate) >= 1999 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1""",
 }

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from tabaudit.functions import similarity, text
 from tabaudit.operators import availability, catalog, cleaning, mapping, payloads, progress, routing, rules, schema
 from tabaudit.plans import audit, migrate
-from tabaudit.session import cut_lineage
+from tabaudit.session import cut_lineage, fresh_path
 from tabaudit.settings import Settings
-from tabaudit.sources import pages
-from tabaudit.sources.tables import complete_progress, parse_aliases
+from tabaudit.sources import pages, reports
+from tabaudit.sources.tables import complete_progress, parse_aliases, read_ready_csv
 from workload import inputs
 
 ALIASES, FUZZY = parse_aliases(inputs.ALIAS_CONFIG)
@@ -57,7 +57,7 @@ def prefix_until_bad_page(spark, sf_dir):
 
 @query
 def target_catalog_scan(spark, sf_dir):
-    """The target catalog as it is served: one page, other pages don't count."""
+    """Target catalogs as they are served, one for each nation and hundred of suppliers: one page each, other pages don't count."""
     return pages.target_catalog(inputs.target_pages(spark, sf_dir)).select("ord", "id", "judul")
 
 
@@ -73,12 +73,10 @@ def catalog_head(spark, sf_dir):
 
 @query
 def ready_contract_scan(spark, sf_dir):
-    """Ready rows through the text form of the contract: the document survives quoting, and values stay text."""
-    ready = inputs.packed_rows(spark, sf_dir)
-    line = F.to_csv(F.struct("Dataset_Id", "Judul_Tabel", "Row_Data_JSON"), {"quote": '"', "escape": '"'})
-    contract = "Dataset_Id string, Judul_Tabel string, Row_Data_JSON string"
-    parsed = ready.select("row_no", F.from_csv(line, contract, {"quote": '"', "escape": '"'}).alias("r")).select("row_no", "r.*")
-    rows = payloads.unpack_rows(parsed)
+    """Ready rows written to files of the contract and read back: the document survives quoting, and values stay text."""
+    path = fresh_path(spark)
+    reports.write_csv(inputs.packed_rows(spark, sf_dir), path)
+    rows = payloads.unpack_rows(read_ready_csv(spark, path))
     return rows.select("dataset_id", "row_no", F.col("row")["jml"].alias("jml"), F.col("row")["Kab_Kota"].alias("kab_kota"), F.col("row")["kod_wil"].alias("kod_wil"))
 
 
@@ -499,6 +497,16 @@ def availability_matrix(spark, sf_dir):
     return availability.availability_matrix(_years(spark, sf_dir), YEARS)
 
 
+@query
+def availability_by_year(spark, sf_dir):
+    """The matrix over the years that the data has, as lines, since its columns depend on the data."""
+    rows = availability.year_range(_years(spark, sf_dir), 1996)
+    matrix = availability.availability_matrix(rows)
+    years = [name for name in matrix.columns if name.startswith("tahun_")]
+    lines = F.explode(F.array(*[F.struct(F.lit(int(name[6:])).alias("tahun"), F.col(name).alias("status")) for name in years]))
+    return matrix.select("Judul_Tabel", "Dataset_Id", lines.alias("line")).select("Judul_Tabel", "Dataset_Id", "line.*")
+
+
 @query
 def keep_last(spark, sf_dir):
     return availability.keep_last(availability.year_range(_years(spark, sf_dir), 1999))

@@ -101,10 +101,10 @@ def trigram_logs(counts: DataFrame, langs: list[str]) -> np.ndarray:
 
 
 def visible_text(html: Column) -> Column:
-    """A page's text without markup, scripts and styles."""
-    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b[^>]*+>.*?</\1\s*+>", " ")
-    bare = F.regexp_replace(bare, r"(?s)<!--.*?-->", " ")
-    return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*+>", " "), r"&[A-Za-z0-9#]{1,10};", " ")
+    """A page's text without markup, scripts and styles. What is opened and never closed runs to the end of the page."""
+    bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)", " ")
+    bare = F.regexp_replace(bare, r"(?s)<!--.*?(?:-->|\z)", " ")
+    return F.regexp_replace(F.regexp_replace(bare, r"<[^>]*+(?:>|\z)", " "), r"&[A-Za-z0-9#]{1,10};", " ")
 
 
 def _read(pages: DataFrame) -> DataFrame:

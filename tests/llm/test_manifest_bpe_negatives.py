@@ -1,4 +1,4 @@
-"""Merkle manifest, BPE and hard negatives against brute force, and on odd rows."""
+"""Merkle manifest, BPE and hard negatives against brute force, and on odd rows; megabytes of one thing in several operators."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabaudit.llm import bpe, hard_negatives, merkle
+from tabaudit.llm import bpe, hard_negatives, language_id, merkle, packing, pii
 
 FIELDS = "doc_id long, source string, lang string, n_chars long, text string, leaf string, proof int, node string"
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -205,3 +205,29 @@ def test_bounds_hold():
         assert (np.abs(exact - middle) <= spread + 1e-6).all()
         widths.append(spread.mean())
     assert widths == sorted(widths, reverse=True)
+
+
+# --- megabytes of one thing ------------------------------------------------------------------------------------------
+
+
+def test_packing_takes_megabytes_of_white_space():
+    encoder, library = packing.Encoder(JSON, public_tokenizers.path("byte_bpe_50k.tiktoken")), Tokenizer.from_file(JSON)
+    for text in (" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000):
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_personal_data_in_megabytes_of_addresses(spark):
+    text = " ".join(f"n{k}.x@host{k % 97}.org Ä{k} {k % 256}.1.2.{k % 200}" for k in range(40_000))
+    (row,) = pii.base_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(row["email"]) == len(row["ip"]) == 40_000
+    for kind, at in (("email", 39_999), ("ip", 1_234)):
+        span = row[kind][at]
+        assert text[span["at"] : span["at"] + len(span["value"])] == span["value"]
+    assert row["clear"].count(" ") == text.count(" ") and len(row["clear"]) == len(text) and "@" in row["clear"] and "host" not in row["clear"]
+
+
+def test_visible_text_of_pages_that_close_nothing(spark):
+    pages = ["a <b>b</b> <script>x<y</script> c <!-- d --> e", "a <!-- b" + "<!-- c" * 200_000, "a " + "<script>b" * 200_000, "a " + "<" * 1_000_000, "a <style>b</style> c<style>d"]
+    df = spark.createDataFrame([(k, p) for k, p in enumerate(pages)], "k int, html string")
+    got = {r["k"]: r["t"].split() for r in df.select("k", language_id.visible_text(F.col("html")).alias("t")).collect()}
+    assert got == {0: ["a", "b", "c", "e"], 1: ["a"], 2: ["a"], 3: ["a"], 4: ["a", "c"]}

@@ -22,6 +22,19 @@ def squash_whitespace(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, rf"(?U){WHITESPACE}+", " "), r"^ | \z", "")
 
 
+def typed_json(row: Column, bare: Column) -> Column:
+    """A row as JSON text. Values of the keys in ``bare`` are JSON already and keep their text; all others are written as strings."""
+
+    def part(json: Column, behind: int) -> Column:
+        return F.substr(json, F.lit(2), F.length(json) - 1 - behind)
+
+    def entry(e: Column) -> Column:
+        name = part(F.to_json(F.create_map(e["key"], F.lit(""))), 3)  # the name, quoted, and the colon
+        return F.when(F.array_contains(bare, e["key"]) & e["value"].isNotNull(), F.concat(name, e["value"])).otherwise(part(F.to_json(F.create_map(e["key"], e["value"])), 1))
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(row), entry), ","), F.lit("}"))
+
+
 def normalize_title(title: Column) -> Column:
     """Lower case, punctuation removed, whitespace squashed."""
     return squash_whitespace(F.regexp_replace(F.lower(title), f"(?U){NOT_WORD_OR_SPACE}", ""))

@@ -11,12 +11,18 @@ REGION_COLUMN = "kode_wilayah"
 
 
 def clean_whitespace(records: DataFrame) -> DataFrame:
-    return records.withColumn("row", F.transform_values("row", lambda k, v: squash_whitespace(v)))
+    """Strings without white space too much; numbers and nested values aren't touched."""
+    if "bare" not in records.columns:
+        return records.withColumn("row", F.transform_values("row", lambda k, v: squash_whitespace(v)))
+    return records.withColumn("row", F.transform_values("row", lambda k, v: F.when(F.array_contains("bare", k), v).otherwise(squash_whitespace(v))))
 
 
 def fix_region_codes(records: DataFrame, column: str = REGION_COLUMN) -> DataFrame:
-    """Dotted form of the digits-only codes in one column."""
+    """Dotted form of the digits-only codes in one column. A number that gets dots is a string from then on."""
     fixed = F.transform_values("row", lambda k, v: F.when(k == column, format_region_code(v)).otherwise(v))
+    if "bare" in records.columns:
+        dotted = F.coalesce(format_region_code(F.col("row")[column]) != F.col("row")[column], F.lit(False))
+        records = records.withColumn("bare", F.when(dotted, F.array_remove("bare", column)).otherwise(F.col("bare")))
     return records.withColumn("row", F.when(F.map_contains_key("row", column), fixed).otherwise(F.col("row")))
 
 

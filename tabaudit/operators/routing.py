@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabaudit.functions.text import typed_json
 from tabaudit.operators.ranking import numbered
 from tabaudit.operators.rules import FLAGGED
 
@@ -109,11 +110,13 @@ def load_summary(quality: DataFrame) -> DataFrame:
 def route(audited: DataFrame, quality: DataFrame, statuses: Iterable[str] | None = None) -> DataFrame:
     """Every routed row with its ``Load_Decision``: loadable rows of ready datasets, all rows of review datasets.
 
-    One pass over the rows serves both outputs when it is written partitioned by the decision.
+    One pass over the rows serves both outputs when it is written partitioned by the decision. Values keep the type that they
+    had when they were fetched, as far as rows say so (``bare``).
     """
     decisions = quality.where(F.col("Load_Decision") != SKIPPED).select(
         F.col("Dataset_Id").alias("dataset_id"), "Judul_Tabel", "Catalog_Suspect", "Load_Decision"
     )
+    document = typed_json(F.col("row"), F.col("bare")) if "bare" in audited.columns else F.to_json("row")
     kept = (F.col("Load_Decision") == REVIEW) | _is_allowed(audited, statuses)
     return audited.join(decisions, "dataset_id").where(kept).select(
         F.col("dataset_id").alias("Dataset_Id"),
@@ -121,7 +124,7 @@ def route(audited: DataFrame, quality: DataFrame, statuses: Iterable[str] | None
         "Catalog_Suspect",
         "migration_status",
         "flag_reason",
-        F.to_json("row").alias("Row_Data_JSON"),
+        document.alias("Row_Data_JSON"),
         "row_no",
         "Load_Decision",
     )

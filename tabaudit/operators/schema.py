@@ -1,6 +1,7 @@
 """Column names of ragged datasets: the schema table, rename plans, and their application to rows.
 
-Rows of all datasets live in ``records(dataset_id, row_no, row MAP<STRING,STRING>)``. Renames depend on the whole
+Rows of all datasets live in ``records(dataset_id, row_no, row MAP<STRING,STRING>)``, where they come from JSON with ``bare``, the
+keys whose values aren't strings there. Renames depend on the whole
 column list of a dataset, so they are planned on ``dataset_columns`` (one row per dataset and column) and joined
 back as one map per dataset. No join is forced to broadcast: plans grow with the number of datasets, and adaptive
 execution broadcasts them when their measured size allows it.
@@ -197,7 +198,11 @@ def apply_plan(records: DataFrame, plan: DataFrame) -> DataFrame:
     untouched = F.col("renames").isNull()
     kept = F.map_filter("row", lambda k, v: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())
     renamed = F.transform_keys(kept, lambda k, v: F.coalesce(F.col("renames")[k], k))
-    return joined.withColumn("row", F.when(untouched, F.col("row")).otherwise(renamed)).select(*records.columns)
+    joined = joined.withColumn("row", F.when(untouched, F.col("row")).otherwise(renamed))
+    if "bare" in records.columns:
+        stays = F.filter("bare", lambda k: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())
+        joined = joined.withColumn("bare", F.when(untouched, F.col("bare")).otherwise(F.transform(stays, lambda k: F.coalesce(F.col("renames")[k], k))))
+    return joined.select(*records.columns)
 
 
 def final_columns(plan: DataFrame) -> DataFrame:

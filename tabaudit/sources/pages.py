@@ -85,7 +85,10 @@ def _objects(items: DataFrame) -> DataFrame:
     """Elements that are JSON objects, as maps; ``n`` orders them by page and position."""
     row = F.from_json("item", "map<string,string>")
     order = F.shiftleft(F.col("page").cast("long"), ROW_SHIFT) + F.col("pos")
-    return items.where(F.startswith("item", F.lit("{"))).select("dataset_id", order.alias("n"), row.alias("row")).where(F.col("row").isNotNull())
+    typed = F.from_json("item", "map<string,variant>")
+    bare = F.map_keys(F.map_filter(typed, lambda k, v: F.coalesce(~F.schema_of_variant(v).isin("STRING", "VOID"), F.lit(False))))
+    found = items.where(F.startswith("item", F.lit("{"))).select("dataset_id", order.alias("n"), row.alias("row"), F.coalesce(bare, F.array().cast("array<string>")).alias("bare"))
+    return found.where(F.col("row").isNotNull())
 
 
 def catalog_from_pages(pages: DataFrame, max_pages: int | None = None, fail_fast: bool = True) -> DataFrame:
@@ -100,9 +103,12 @@ def catalog_from_pages(pages: DataFrame, max_pages: int | None = None, fail_fast
 
 
 def records_from_pages(pages: DataFrame, max_pages: int | None = None, fail_fast: bool = True) -> DataFrame:
-    """Rows ``(dataset_id, row_no, row)`` of all datasets. ``row_no`` orders the rows of a dataset, with gaps."""
+    """Rows ``(dataset_id, row_no, row, bare)`` of all datasets. ``row_no`` orders the rows of a dataset, with gaps.
+
+    ``row`` holds the text of every value, ``bare`` the keys whose values are no strings: numbers, booleans, nested values.
+    """
     rows = _objects(page_items(pages, max_pages, fail_fast))
-    return rows.select("dataset_id", F.col("n").alias("row_no"), F.map_filter("row", lambda k, v: k != "dataset_id").alias("row"))
+    return rows.select("dataset_id", F.col("n").alias("row_no"), F.map_filter("row", lambda k, v: k != "dataset_id").alias("row"), "bare")
 
 
 def fetch_status(pages: DataFrame, max_pages: int | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tabaudit.operators import catalog, cleaning, routing, rules, schema
 from tabaudit.plans.audit import assess, audit, clean, rename_plan
 from tabaudit.settings import Settings
+from tabaudit.sources import pages
 from tabaudit.sources.tables import parse_aliases
 
 ALIASES, _ = parse_aliases(json.dumps({"column_aliases": {
@@ -193,3 +194,16 @@ def test_settings_fall_back():
     found = Settings.from_mapping({"dup_threshold": "150", "year_min": "1990", "max_pages": "x", "require_columns": " Tahun , Jumlah", "allowed_load_statuses": " , "})
     assert (found.dup_threshold, found.year_min, found.max_pages) == (85, 1990, None)
     assert found.require_columns == ("tahun", "jumlah") and found.allowed_load_statuses == ("ready",)
+
+
+def test_values_keep_their_type_from_page_to_packed_row(spark):
+    item = {"Jml": 2500, "nilai": 1250.50, "aktif": True, "kod_wil": 3320, "kode": "0012", "Kab_Kota": " Kota  X ", "sub": {"a": "x  y"}, "kosong": None, "thn": 2021, "q\"k": 1}
+    body = json.dumps({"_meta": {"pageCount": 1}, "data": [item]})
+    landed = spark.createDataFrame([("d", 1, body, True)], "dataset_id string, page int, body string, ok boolean")
+    found = pages.records_from_pages(landed)
+    assert sorted(found.first().bare) == sorted(["Jml", "nilai", "aktif", "kod_wil", "sub", "thn", "q\"k"])
+    tables = audit(catalog_of(spark, ("d", "Data")), found, ALIASES, Settings(require_columns=("jumlah",)), check_duplicates=False)
+    (row,) = tables["load_ready"].collect()
+    assert json.loads(row.Row_Data_JSON) == {
+        "jumlah": 2500, "nilai": 1250.5, "aktif": True, "kode_wilayah": "33.20", "kode": "0012", "nama_wilayah": "Kota X", "sub": {"a": "x  y"}, "kosong": None, "tahun": 2021, "q\"k": 1,
+    }

@@ -51,14 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def legacy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``records(dataset_id, row_no, row)``: one ragged dataset per customer, one row per order."""
+    """``records(dataset_id, row_no, row, bare)``: one ragged dataset per customer, one row per order; ``jml`` is a number."""
     cells = [
         F.when(F.expr(exists), F.struct(F.lit(name).alias("key"), F.expr(value).alias("value")))
         for name, value, exists in LEGACY_COLUMNS
     ]
     row = F.map_from_entries(F.filter(F.array(*cells), lambda cell: cell.isNotNull()))
     return table(spark, sf_dir, "orders").select(
-        F.expr("'ds_' || o_custkey").alias("dataset_id"), F.col("o_orderkey").alias("row_no"), row.alias("row")
+        F.expr("'ds_' || o_custkey").alias("dataset_id"), F.col("o_orderkey").alias("row_no"), row.alias("row"), F.array(F.lit("jml")).alias("bare")
     )
 
 

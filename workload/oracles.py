@@ -257,7 +257,7 @@ ORACLES: dict[str, str] = {
     "load_summary": f"""WITH {QUALITY} SELECT count(*) AS Total_Dataset_Dinilai, cast(sum(Total_Rows) AS BIGINT) AS Total_Baris_Dinilai,
  cast(sum(Baris_Siap_Load) AS BIGINT) AS Total_Baris_Siap_Load, cast(sum(Baris_Bermasalah) AS BIGINT) AS Total_Baris_Bermasalah FROM quality""",
     "pack_ready": f"""WITH {QUALITY} SELECT q.Dataset_Id, Judul_Tabel, row_no, {CLEAN_VALUES}, regexp_replace(trim(place_value), ' +', ' ', 'g') AS nama_wilayah, jml AS jumlah,
- cast({N_KEYS} AS INTEGER) AS n_keys FROM assessed a JOIN quality q ON q.Dataset_Id = a.dataset_id WHERE Load_Decision = 'ready_for_load' AND migration_status = 'ready'""",
+ cast({N_KEYS} AS INTEGER) AS n_keys, 'BIGINT,STRING' AS types FROM assessed a JOIN quality q ON q.Dataset_Id = a.dataset_id WHERE Load_Decision = 'ready_for_load' AND migration_status = 'ready'""",
     "pack_review": f"""WITH {QUALITY} SELECT q.Dataset_Id, Judul_Tabel, Catalog_Suspect, row_no, migration_status, flag_reason, {CLEAN_VALUES},
  cast({N_KEYS} AS INTEGER) AS n_keys FROM assessed a JOIN quality q ON q.Dataset_Id = a.dataset_id WHERE Load_Decision = 'manager_review_required'""",
     "title_normalize": f"SELECT doc_id, cast(length(t) AS INTEGER) AS n_chars, md5(t) AS md5 FROM (SELECT doc_id, {_normal('text')} AS t FROM documents)",

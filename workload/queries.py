@@ -248,7 +248,13 @@ def pack_ready(spark, sf_dir):
     packed = routing.pack_ready(*_quality(spark, sf_dir))
     row = F.from_json("Row_Data_JSON", "map<string,string>")
     names = ["tahun", "kode_wilayah", "nama_wilayah", "jumlah"]
-    return packed.select("Dataset_Id", "Judul_Tabel", "row_no", *[row[name].alias(name) for name in names], F.size(row).alias("n_keys"))
+    return packed.select("Dataset_Id", "Judul_Tabel", "row_no", *[row[name].alias(name) for name in names], F.size(row).alias("n_keys"), _types("jumlah", "nama_wilayah"))
+
+
+def _types(*names):
+    """The JSON types of some values of a packed row."""
+    document = F.parse_json("Row_Data_JSON")
+    return F.concat_ws(",", *[F.schema_of_variant(F.variant_get(document, F.lit(f"$.{name}"), "variant")) for name in names]).alias("types")
 
 
 @query

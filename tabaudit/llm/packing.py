@@ -42,12 +42,12 @@ class Encoder:
     """Token ids of the byte-level vocabulary.
 
     Texts in Latin letters are encoded from the rank file of the same vocabulary, which is several times faster; all
-    other texts by the tokenizer file itself, because the two libraries may disagree on newer letters. So are very
-    long texts, because the faster library can't take a long run of white space.
+    other texts by the tokenizer file itself, because the two libraries may disagree on newer letters. So are texts
+    with a very long run of white space, which the faster library can't take.
     """
 
     FAR = re.compile("[^\u0000-\u024f\u2000-\u206f]")
-    LONG = 1 << 18
+    WIDE = re.compile(r"\s{100000}")
 
     def __init__(self, json_path: str, ranks_path: str):
         with open(ranks_path, "rb") as lines:
@@ -56,7 +56,7 @@ class Encoder:
         self.json_path, self.far = json_path, None
 
     def ids(self, text: str) -> np.ndarray:
-        if len(text) < self.LONG and not self.FAR.search(text):
+        if not self.FAR.search(text) and not self.WIDE.search(text):
             return self.near.encode_to_numpy(text, disallowed_special=()).astype(np.uint16)
         if self.far is None:
             self.far = Tokenizer.from_file(self.json_path)

@@ -63,7 +63,7 @@ class Vocabulary:
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[model["vocab"][left], model["vocab"][right]] = (rank, model["vocab"][left + right])
+            self.merges[model["vocab"][left], model["vocab"][right]] = (rank << PLACE_BITS, model["vocab"][left + right])
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.json_path, self.splitter = json_path, None
@@ -108,37 +108,39 @@ class Vocabulary:
 
 
 def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The symbols after all merges, lowest rank first and leftmost among equals."""
-    n = len(symbols)
-    if n < 2:
-        return symbols
-    symbols = list(symbols)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    """The symbols after all merges, lowest rank first and leftmost among equals. ``merges`` holds ranks above the bits of a place."""
+    n, known = len(symbols), merges.get
     # An entry is the rank and the place of a pair in one number.
-    queue = [found[0] << PLACE_BITS | at for at in range(n - 1) if (found := merges.get((symbols[at], symbols[at + 1]))) is not None]
+    queue = [found[0] | at for at, pair in enumerate(zip(symbols, symbols[1:])) if (found := known(pair)) is not None]
+    if not queue:
+        return symbols
     heapq.heapify(queue)
+    pop, push = heapq.heappop, heapq.heappush
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    symbols.append(-1)  # stands behind the last one and has no merges
     while queue:
-        best = heapq.heappop(queue)
+        best = pop(queue)
         at = best & PLACE_MASK
         then = after[at]
-        if then >= n:
-            continue
-        found = merges.get((symbols[at], symbols[then]))
-        if found is None or found[0] != best >> PLACE_BITS:
+        if then > n:
+            continue  # stale: this symbol was merged into the one before it
+        found = known((symbols[at], symbols[then]))
+        if found is None or found[0] | at != best:
             continue  # stale: one of the two was merged meanwhile, and the rank is another pair's
         new = found[1]
         symbols[at], symbols[then] = new, -1
         far = after[at] = after[then]
+        after[then] = n + 1
         if far < n:
             before[far] = at
-            found = merges.get((new, symbols[far]))
+            found = known((new, symbols[far]))
             if found is not None:
-                heapq.heappush(queue, found[0] << PLACE_BITS | at)
+                push(queue, found[0] | at)
         near = before[at]
         if near >= 0:
-            found = merges.get((symbols[near], new))
+            found = known((symbols[near], new))
             if found is not None:
-                heapq.heappush(queue, found[0] << PLACE_BITS | near)
+                push(queue, found[0] | near)
     return [s for s in symbols if s >= 0]
 
 

@@ -1,4 +1,4 @@
-"""The audit as one DAG: catalog and rows in, report tables out. Actions happen only at the sinks."""
+"""The audit as one plan: catalog and rows in, report tables out. Small tables that are read several times are written on the way."""
 
 from __future__ import annotations
 
@@ -59,7 +59,7 @@ def audit(
     fetch_status: DataFrame | None = None,
     check_duplicates: bool = True,
 ) -> dict[str, DataFrame]:
-    """All report tables of an audit run, as lazy DataFrames.
+    """All report tables of an audit run. Groups, plan and quality are written while this runs; the rows are read when a table is.
 
     ``fetch_status(dataset_id, ok, message)`` names datasets that could not be read; their rows are left out.
     """

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,23 @@ def fresh_path(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end. Only what was written for good inside, or depends on none of them, can be used later."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [open_scope for open_scope in _SCOPES if open_scope is not paths]
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -60,4 +79,6 @@ def written(df: DataFrame) -> DataFrame:
     """
     path = fresh_path(df.sparkSession)
     df.write.parquet(path)
+    for open_scope in _SCOPES:
+        open_scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,13 +1,14 @@
 """Sources and operators of the migration on small fixtures."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabaudit.operators import availability, mapping, payloads, progress, schema
 from tabaudit.plans.migrate import fold_batch, key_plan, plan_batch
-from tabaudit.sources import pages, reports, tables
+from tabaudit.sources import pages, progress_log, reports, tables
 
 ALIASES = {"kab_kota": "kabupaten_kota", "jml": "jumlah", "thn": "tahun", "ket": "keterangan"}
 
@@ -229,6 +230,27 @@ def test_years_of_the_matrix_come_from_the_data(spark):
         availability.years_of(spark.range(2000).selectExpr("cast(id AS int) AS tahun"))
 
 
+def test_snapshots_of_the_log_give_the_answers_of_the_whole_log(spark, tmp_path):
+    path, rng, whole = str(tmp_path / "log"), random.Random(4), []
+    assert progress_log.read(spark, path).count() == 0 and progress_log.compact(spark, path) == 0
+    for number in range(1, 8):
+        # Lines of earlier batches may come late; seq tells the lines of a batch apart.
+        lines = [(str(rng.randrange(12)), "t", "o", rng.choice(["done", "failed", "partial"]), rng.randrange(9), None, rng.randrange(max(1, number - 3), number + 1), 100 * number + k) for k in range(6)]
+        whole += lines
+        assert progress_log.append(spark.createDataFrame(lines, progress.PROGRESS_SCHEMA), path) == number
+        if number in (3, 6):
+            assert progress_log.compact(spark, path) == number and progress_log.compact(spark, path) == 0
+    full = spark.createDataFrame(whole, progress.PROGRESS_SCHEMA)
+    read = progress_log.read(spark, path)
+    assert len(progress_log.folders(spark, path)) == 2 and read.count() < full.count()
+    assert sorted(map(tuple, progress.latest(read).collect())) == sorted(map(tuple, progress.latest(full).collect()))
+    assert progress.next_batch(read).first() == progress.next_batch(full).first()
+    # An addition that wasn't finished is never read, and its number isn't used again.
+    (tmp_path / "log" / "additions" / "n=7" / "_SUCCESS").unlink()
+    assert progress_log.folders(spark, path) == [f"{path}/snapshots/n=6"]
+    assert progress_log.append(full.limit(1), path) == 8
+
+
 def test_nothing_left_to_do(spark):
     ready, targets = ready_of(spark, ("A", "Data Padi", {"thn": "2021"})), targets_of(spark, ("10", "Padi Data"))
     log = tables.complete_progress(log_of(spark, ("10", "done", 5, 1)))

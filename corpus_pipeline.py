@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabaudit.llm import exact_dedup, mixing, ngram_join, packing, quality
 from tabaudit.llm.queries import MIX_MOST, MIX_SHARE, MIX_WEIGHTS, earlier, table
-from tabaudit.session import written
+from tabaudit.session import fresh_path, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -53,5 +53,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        path = fresh_path(spark)
+        with scratch(spark):  # what a stage writes on its way goes when its output is there
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

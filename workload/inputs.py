@@ -1,6 +1,6 @@
 """Inputs in the shape of the audited system, derived from the given tables.
 
-Every input uses all rows of its table and whole texts. The expressions that *make* the input are SQL text, because
+Every input uses all rows of its table. Titles of documents are their first sentences or lines; their other sentences are their rows. The expressions that *make* the input are SQL text, because
 the checking SQL starts from the same input.
 """
 
@@ -98,6 +98,11 @@ def page_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``catalog(ord, id, judul)``: the parts by name, a column of titles in which most occur many times."""
+    return table(spark, sf_dir, "part").selectExpr("p_partkey AS ord", "cast(p_partkey AS string) AS id", "p_name AS judul")
+
+
 def page_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(dataset_id, row_no, teks)``: every sentence of the web pages, whole, with those of head, scripts, styles and nav."""
     text = F.regexp_replace("html", "<[^>]*>", "\n")

@@ -138,6 +138,7 @@ groups AS (SELECT m.group_ord, h.title AS base_title, m.dataset_id, m.ord, m.jud
 
 PAGE_CATALOG = f"SELECT page_id AS ord, cast(page_id AS string) AS id, regexp_extract(html, '{inputs.TITLE}', 1) AS judul FROM pages"
 DOCUMENT_CATALOG = r"SELECT doc_id AS ord, cast(doc_id AS string) AS id, string_split_regex(text, '[.\n]')[1] AS judul FROM documents"
+PART_CATALOG = "SELECT p_partkey AS ord, cast(p_partkey AS string) AS id, p_name AS judul FROM part"
 LINE_CATALOG = "SELECT doc_id AS ord, cast(doc_id AS string) AS id, string_split(text, chr(10))[1] AS judul FROM documents"
 TITLES, GROUPS = _titles(DOCUMENT_CATALOG, 85), _groups(DOCUMENT_CATALOG, 85)
 
@@ -270,6 +271,8 @@ ORACLES: dict[str, str] = {
  SELECT page_id, CASE WHEN p.n = 0 THEN 0 ELSE {_score(_lcs('p', 'r'), 'p', 'r')} END AS score FROM r JOIN pats p USING (x)""",
     "title_edges": f"WITH {TITLES} SELECT a AS a_ord, b AS b_ord, ax AS a_text, bx AS b_text, score FROM edges",
     "title_groups": f"WITH {GROUPS} SELECT * FROM groups",
+    "part_title_edges": f"WITH {_titles(PART_CATALOG, 75)} SELECT a AS a_ord, b AS b_ord, ax AS a_text, bx AS b_text, score FROM edges",
+    "part_title_groups": f"WITH {_groups(PART_CATALOG, 75)} SELECT group_ord, base_title, dataset_id FROM groups",
     "title_groups_low": f"WITH {_groups(PAGE_CATALOG, 60)} SELECT group_ord, base_title, dataset_id FROM groups",
     "document_title_groups": f"WITH {_groups(LINE_CATALOG, 92)} SELECT group_ord, dataset_id, ord FROM groups",
     "sample_rows": f"""WITH {SENTENCES} SELECT dataset_id, row_no, md5(teks) AS md5 FROM sentences

@@ -308,6 +308,17 @@ def title_groups(spark, sf_dir):
     return catalog.title_groups(inputs.document_catalog(spark, sf_dir))
 
 
+@query
+def part_title_edges(spark, sf_dir):
+    """Part names, which are titles by themselves."""
+    return catalog.title_edges(inputs.part_catalog(spark, sf_dir), 75)
+
+
+@query
+def part_title_groups(spark, sf_dir):
+    return catalog.title_groups(inputs.part_catalog(spark, sf_dir), 75).select("group_ord", "base_title", "dataset_id")
+
+
 @query
 def title_groups_low(spark, sf_dir):
     """Page titles at a threshold that has no usable join key."""

@@ -1,10 +1,17 @@
 """Quality classifier from positive and unlabelled texts: non-negative unbiased risk, minimised by Newton steps.
 
-Trusted positives are documents labelled good outside the held-out fold; all other documents are unlabelled text. With the
-logistic loss the unbiased risk of a score ``g`` is ``-prior * mean_P(g) + mean_U(log(1 + e^g))``: it needs no negative
-examples and is convex. The risk of the negatives inside it, ``mean_U - prior * mean_P`` of ``log(1 + e^g)``, cannot
-truly be negative; a step that would make it so is halved until it isn't. The prior is the share of good among the labels
-of the training folds.
+Trusted positives are documents labelled good outside the held-out fold; the unlabelled text is that of all documents, the
+positives among them. With the logistic loss the unbiased risk of a score ``g`` is ``-prior * mean_P(g) + mean_U(log(1 + e^g))``:
+it needs no negative examples and is convex. The risk of the negatives inside it, ``mean_U - prior * mean_P`` of
+``log(1 + e^g)``, cannot truly be negative; a step that would make it so is halved until it isn't.
+
+The prior, the share of good documents, is estimated from positives and unlabelled text alone; labels of poor documents are
+never read. A first fit with an even prior and half of the positives puts the documents in an order; the other half are positives
+that it hasn't seen. Above any score lies at least the share of the unlabelled text that the share of positives above it, times
+the prior, accounts for, so the ratio of the two shares bounds the prior from above, and where only good documents are left it
+meets it. The smallest upper confidence bound of the ratio counts, as the smallest ratio itself is too small by chance; with few
+positives it errs towards accepting. The half that was seen is left out of both counts and added to the good ones afterwards.
+The second fit has all positives.
 
 Each Newton step is one pass over the features of *all* documents: tasks return sums of fixed size. Nothing is sampled.
 Labels, language, source and id are never inputs of a score. Null text counts as empty and is scored like any other; a
@@ -31,6 +38,10 @@ FOLDS, HELD_OUT = 3, 1
 #: Strength of the ridge, and what is added to it divided by the number of positives: few examples allow little.
 RIDGE, RIDGE_EXTRA = 1e-3, 10.0
 STEPS = 25
+#: The scores of the first fit are counted in so many bins of equal width, from ``-BIN_REACH`` to ``BIN_REACH``.
+PRIOR_BINS, BIN_REACH = 4096, 16.0
+#: Chance that a bound on a share fails at any score (one side, Dvoretzky-Kiefer-Wolfowitz), and the smallest and largest prior.
+PRIOR_FAILS, PRIOR_RANGE = 0.1, (0.01, 0.99)
 
 # Byte classes: lower case, upper case, digits, white space but line ends, line ends, then the marks by kind, then the rest.
 _KINDS = np.full(256, 12, np.int64)
@@ -128,66 +139,120 @@ def _sums(examples: DataFrame, of, size: int) -> np.ndarray:
     return np.sum(sorted((np.frombuffer(row["sums"]) for row in rows), key=lambda v: v.tobytes()), axis=0) if rows else np.zeros(size)
 
 
-def fit(examples: DataFrame, prior: float) -> np.ndarray:
-    """Weights that minimise the non-negative unbiased risk over ``examples(x, positive)``."""
-    d = WIDTH
-    moments = _sums(examples, lambda x, p: np.concatenate(([p.sum(), len(p)], x.sum(0), (x * x).sum(0), x[p].sum(0))), 2 + 3 * d)
-    n_positive, n = moments[0], moments[1]
-    n_unlabelled = n - n_positive
-    if not n_positive or not n_unlabelled:
-        return np.zeros(d)
-    mean = moments[2 : 2 + d] / n
-    scale = np.sqrt(np.maximum(moments[2 + d : 2 + 2 * d] / n - mean**2, 0))
-    mean[0], scale[0] = 0.0, 1.0
-    scale = np.where(scale > 1e-6, scale, np.inf)
-    positive_mean = (moments[2 + 2 * d :] / n_positive - mean) / scale
+class _Risk:
+    """The non-negative unbiased risk over ``examples(x, positive)``, every one of which is unlabelled text, too."""
 
-    strength = RIDGE + RIDGE_EXTRA / n_positive
+    def __init__(self, examples: DataFrame) -> None:
+        d = WIDTH
+        moments = _sums(examples, lambda x, p: np.concatenate(([p.sum(), len(p)], x.sum(0), (x * x).sum(0), x[p].sum(0))), 2 + 3 * d)
+        self.examples, (self.n_positive, self.n) = examples, moments[:2]
+        mean = moments[2 : 2 + d] / max(self.n, 1)
+        scale = np.sqrt(np.maximum(moments[2 + d : 2 + 2 * d] / max(self.n, 1) - mean**2, 0))
+        mean[0], scale[0] = 0.0, 1.0
+        self.mean, self.scale = mean, np.where(scale > 1e-6, scale, np.inf)
+        self.positive_mean = (moments[2 + 2 * d :] / max(self.n_positive, 1) - mean) / self.scale
+        self.strength = RIDGE + RIDGE_EXTRA / max(self.n_positive, 1)
+
+    def at(self, w: np.ndarray, prior: float) -> tuple[float, float, np.ndarray, np.ndarray]:
+        """Risk, risk of the negatives in it, gradient and Hessian at ``w``: one pass over all documents."""
+        mean, scale, d = self.mean, self.scale, WIDTH
 
-    def state(w: np.ndarray):
         def of(x: np.ndarray, p: np.ndarray) -> np.ndarray:
             z = (x - mean) / scale
             g = z @ w
-            soft, chance, u = np.logaddexp(0, g), 1 / (1 + np.exp(-np.clip(g, -50, 50))), ~p
-            hessian = (z[u] * (chance[u] * (1 - chance[u]))[:, None]).T @ z[u]
-            return np.concatenate(([soft[u].sum(), soft[p].sum()], z[u].T @ chance[u], hessian.ravel()))
-
-        sums = _sums(examples, of, 2 + d + d * d)
-        unlabelled, positive = sums[0] / n_unlabelled, sums[1] / n_positive
-        ridge = strength * np.concatenate(([0.0], w[1:]))
-        risk = -prior * positive_mean @ w + unlabelled + 0.5 * w @ ridge
-        gradient = -prior * positive_mean + sums[2 : 2 + d] / n_unlabelled + ridge
-        hessian = sums[2 + d :].reshape(d, d) / n_unlabelled + strength * np.eye(d)
+            soft, chance = np.logaddexp(0, g), 1 / (1 + np.exp(-np.clip(g, -50, 50)))
+            hessian = (z * (chance * (1 - chance))[:, None]).T @ z
+            return np.concatenate(([soft.sum(), soft[p].sum()], z.T @ chance, hessian.ravel()))
+
+        sums = _sums(self.examples, of, 2 + d + d * d)
+        unlabelled, positive = sums[0] / self.n, sums[1] / self.n_positive
+        ridge = self.strength * np.concatenate(([0.0], w[1:]))
+        risk = -prior * self.positive_mean @ w + unlabelled + 0.5 * w @ ridge
+        gradient = -prior * self.positive_mean + sums[2 : 2 + d] / self.n + ridge
+        hessian = sums[2 + d :].reshape(d, d) / self.n + self.strength * np.eye(d)
         return risk, unlabelled - prior * positive, gradient, hessian
 
-    w = np.zeros(d)
-    risk, negative, gradient, hessian = state(w)
-    for _ in range(STEPS):
-        step = np.linalg.solve(hessian, gradient)
-        for _ in range(12):
-            moved = state(w - step)
-            if moved[1] >= 0 and moved[0] <= risk + 1e-12:
+    def least(self, prior: float) -> np.ndarray:
+        """The standardised weights of least risk, by Newton steps from zero, where the risk of the negatives isn't negative."""
+        w = np.zeros(WIDTH)
+        risk, negative, gradient, hessian = self.at(w, prior)
+        for _ in range(STEPS):
+            step = np.linalg.solve(hessian, gradient)
+            for _ in range(12):
+                moved = self.at(w - step, prior)
+                if moved[1] >= 0 and moved[0] <= risk + 1e-12:
+                    break
+                step = step / 2
+            else:
+                break
+            w, gain = w - step, risk - moved[0]
+            risk, negative, gradient, hessian = moved
+            if gain < 1e-5:
                 break
-            step = step / 2
-        else:
-            break
-        w, gain = w - step, risk - moved[0]
-        risk, negative, gradient, hessian = moved
-        if gain < 1e-5:
-            break
-    w = w / scale
-    w[0] -= float(np.where(np.isfinite(scale), mean, 0) @ w)
-    return w
+        return w
+
+    def plain(self, w: np.ndarray) -> np.ndarray:
+        """Weights for features as they are."""
+        w = w / self.scale
+        w[0] -= float(np.where(np.isfinite(self.scale), self.mean, 0) @ w)
+        return w
+
+
+def prior_from_counts(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of good ones in unlabelled text, from counts of positives and of unlabelled text by score, lowest score first."""
+    above = [np.cumsum(counts[::-1]) / max(counts.sum(), 1) for counts in (positive, unlabelled)]
+    seen = above[0] > 0
+    share, whole = above[0][seen], above[1][seen]
+    if not len(share) or not unlabelled.sum():
+        return 0.5
+    noise = sum(np.sqrt(np.log(1 / PRIOR_FAILS) / (2 * counts.sum())) for counts in (positive, unlabelled))
+    return float(np.clip(np.min((whole + noise) / share), *PRIOR_RANGE))
+
+
+def class_prior(examples: DataFrame, weights: np.ndarray) -> float:
+    """The estimated share of good documents, from the scores of ``examples(x, positive, seen)``; ``weights`` were fitted to the seen.
+
+    At most ``PRIOR_BINS`` counts come back.
+    """
+
+    def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((3, PRIOR_BINS), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                place = np.clip((_matrix(batch.column("x")) @ weights + BIN_REACH) * (PRIOR_BINS / (2 * BIN_REACH)), 0, PRIOR_BINS - 1).astype(int)
+                positive, seen = (batch.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("positive", "seen"))
+                counts += [np.bincount(place[rows], minlength=PRIOR_BINS) for rows in (positive & ~seen, ~seen, seen)]
+        used = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(c[used]) for c in counts]], ["bin", "positive", "unlabelled", "seen"])
+
+    names = ["positive", "unlabelled", "seen"]
+    counted = examples.select("x", "positive", "seen").mapInArrow(bins, "bin int, positive long, unlabelled long, seen long")
+    counts = np.zeros((3, PRIOR_BINS), np.int64)
+    for row in counted.groupBy("bin").agg(*[F.sum(c).alias(c) for c in names]).collect():
+        counts[:, row["bin"]] = [row[c] for c in names]
+    rest, seen = counts[1].sum(), counts[2].sum()
+    return float(np.clip((prior_from_counts(*counts[:2]) * rest + seen) / max(rest + seen, 1), *PRIOR_RANGE))
+
+
+def fit(examples: DataFrame) -> np.ndarray:
+    """Weights that minimise the non-negative unbiased risk over ``examples(x, positive, seen)``; ``seen`` marks half of the positives."""
+    whole = _Risk(examples.select("x", "positive"))
+    if not whole.n_positive:
+        return np.zeros(WIDTH)
+    half = _Risk(examples.select("x", F.col("seen").alias("positive")))
+    start = half.least(0.5) if half.n_positive else np.zeros(WIDTH)
+    return whole.plain(whole.least(class_prior(examples, half.plain(start))))
 
 
 def scored(docs: DataFrame, labels: DataFrame, along: list[str] | None = None) -> DataFrame:
     """``doc_id, held_out, score, predicted``, one row for each row of ``docs``. Columns named in ``along`` come along."""
     known = require(labels, "doc_id", "quality").where(~held_out(F.col("doc_id"))).where("doc_id IS NOT NULL AND quality IS NOT NULL")
     known = known.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min("quality").alias("quality"))
-    prior = known.agg(F.avg(F.col("quality").cast("double"))).first()[0]
     made = with_features(docs, along).join(known, F.col("doc_id") == F.col("label_id"), "left")
-    rows = written(made.select("doc_id", *(along or []), "x", F.coalesce(F.col("quality") == 1, F.lit(False)).alias("positive")))
-    weights = fit(rows, prior if prior is not None else 0.5)
+    positive = F.coalesce(F.col("quality") == 1, F.lit(False))
+    seen = F.coalesce(positive & (F.xxhash64("doc_id") % 2 == 0), F.lit(False))
+    rows = written(made.select("doc_id", *(along or []), "x", positive.alias("positive"), seen.alias("seen")))
+    weights = fit(rows)
 
     @F.pandas_udf("double")
     def score(x: pd.Series) -> pd.Series:

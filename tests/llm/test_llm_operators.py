@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -311,6 +312,60 @@ def test_classifier_on_held_out_documents(spark):
     assert np.mean([s >= 0.5 for s in good]) > 0.95
 
 
+def brute_prior(positive, unlabelled):
+    """The smallest upper bound of the ratio of shares above any score, score by score."""
+    found = []
+    for cut in sorted(set(positive)):
+        share, whole = np.mean(np.array(positive) >= cut), np.mean(np.array(unlabelled) >= cut)
+        noise = sum(math.sqrt(-math.log(quality.PRIOR_FAILS) / 2 / len(part)) for part in (positive, unlabelled))
+        found.append((whole + noise) / share)
+    return min(max(min(found), 0.01), 0.99)
+
+
+@pytest.mark.parametrize("share,n", [(0.2, 20000), (0.6, 20000), (0.9, 20000), (0.6, 300)])
+def test_prior_needs_no_poor_labels(share, n):
+    draw = np.random.default_rng(7)
+    good = draw.random(n) < share
+    score = np.where(good, draw.integers(30, 100, n), draw.integers(0, 50, n))
+    positive = score[good][: n // 10]
+    counts = [np.bincount(s, minlength=100) for s in (positive, score)]
+    found = quality.prior_from_counts(*counts)
+    assert found == pytest.approx(brute_prior(positive, score))
+    assert share - 0.02 < found < share + (0.1 if n > 1000 else 0.4)
+    assert quality.prior_from_counts(np.zeros(100, int), counts[1]) == 0.5
+
+
+def test_poor_labels_are_never_read(spark):
+    base = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    scores = [{r.doc_id: r.score for r in quality.scored(docs, l).collect()} for l in (labels, labels.where("quality = 1"))]
+    assert scores[0] == pytest.approx(scores[1])
+
+
+def brute_risk(x, positive, w, prior):
+    """The risk as it is defined, example by example, without the ridge."""
+    loss = [np.log1p(np.exp(-abs(g))) + max(g, 0) for g in x @ w]
+    return -prior * np.mean((x @ w)[positive]) + np.mean(loss), np.mean(loss) - prior * np.mean(np.array(loss)[positive])
+
+
+def test_risk_and_its_gradient(spark):
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(200, quality.WIDTH)).astype(np.float32)
+    positive = draw.random(200) < 0.3
+    rows = [(row.tobytes(), bool(p)) for row, p in zip(x, positive)]
+    risk = quality._Risk(spark.createDataFrame(rows, "x binary, positive boolean").repartition(3))
+    z, w = (x - risk.mean) / risk.scale, draw.normal(size=quality.WIDTH) / 10
+    ridge = risk.strength * np.concatenate(([0.0], w[1:]))
+    value, negative, gradient, _ = risk.at(w, 0.4)
+    assert (value - 0.5 * w @ ridge, negative) == pytest.approx(brute_risk(z, positive, w, 0.4))
+    step = np.zeros(quality.WIDTH)
+    for k in (0, 5, 20):
+        step[:] = 0
+        step[k] = 1e-5
+        slope = (brute_risk(z, positive, w + step, 0.4)[0] - brute_risk(z, positive, w - step, 0.4)[0]) / 2e-5
+        assert gradient[k] - ridge[k] == pytest.approx(slope, rel=1e-4, abs=1e-6)
+
+
 def test_classifier_on_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(2, 1), (3, 0), (3, 1), (None, 1), (8, None), (9, 1)], "doc_id long, quality int")
     rows = quality.scored(odd, labels).collect()

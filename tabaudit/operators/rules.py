@@ -50,11 +50,18 @@ def flag_where(audited: DataFrame, condition: Column, reason: str) -> DataFrame:
     )
 
 
-def flag_missing(audited: DataFrame, required: Sequence[str], columns: DataFrame) -> DataFrame:
+def flag_missing(audited: DataFrame, required: Sequence[str], columns: DataFrame | None = None) -> DataFrame:
     """Flag rows without a value in a required column. Columns a dataset does not have at all are a schema issue
-    (:func:`tabaudit.operators.schema.schema_issues`), not a row flag."""
-    present = columns.where(F.col("col").isin(list(required))).groupBy("dataset_id").agg(F.collect_set("col").alias("_present"))
-    joined = audited.join(present, "dataset_id", "left")
+    (:func:`tabaudit.operators.schema.schema_issues`), not a row flag.
+
+    Which columns a dataset has is told by ``columns``, or without it by ``present`` of each row, as
+    :func:`tabaudit.operators.schema.apply_plan` leaves it; ``present`` is dropped.
+    """
+    if columns is None:
+        joined = audited.withColumnRenamed("present", "_present")
+    else:
+        present = columns.where(F.col("col").isin(list(required))).groupBy("dataset_id").agg(F.collect_set("col").alias("_present"))
+        joined = audited.join(present, "dataset_id", "left")
     missing = {}
     for name in required:
         value = F.col("row")[name]

@@ -3,7 +3,7 @@
 Rows of all datasets live in ``records(dataset_id, row_no, row MAP<STRING,STRING>)``, where they come from JSON with ``bare``, the
 keys whose values aren't strings there. Renames depend on the whole
 column list of a dataset, so they are planned on ``dataset_columns`` (one row per dataset and column) and joined
-back as one map per dataset. No join is forced to broadcast: plans grow with the number of datasets, and adaptive
+back by key list (:func:`layouts`), or as one map per dataset. No join is forced to broadcast: plans grow with the number of datasets, and adaptive
 execution broadcasts them when their measured size allows it.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabaudit.functions.similarity import best_name
 from tabaudit.functions.text import strip
+from tabaudit.session import written
 
 # Names that mean "year".
 YEAR = "tahun"
@@ -27,17 +28,31 @@ NO_YEAR_ISSUE = "Tidak ditemukan kolom tahun yang valid untuk distandarkan."
 PLAN_COLUMNS = ["dataset_id", "ord", "old", "new", "method", "score"]
 
 
-def dataset_columns(records: DataFrame) -> DataFrame:
-    """``(dataset_id, col, ord)``: the union of keys of each dataset in first-seen order."""
+def layouts(records: DataFrame) -> DataFrame:
+    """``(dataset_id, keys, first_row)``: the distinct key lists among the rows of each dataset, and the first row that has each.
+
+    Most datasets have one. Counting them is a partial aggregate, so what is exchanged grows with the key lists, not with the rows.
+    """
+    keyed = records.select("dataset_id", "row_no", F.map_keys("row").alias("keys")).where(F.col("keys").isNotNull())
+    return keyed.groupBy("dataset_id", "keys").agg(F.min("row_no").alias("first_row"))
+
+
+def columns_of(found: DataFrame) -> DataFrame:
+    """``(dataset_id, col, ord)`` from the key lists of :func:`layouts`."""
     first_seen = (
-        records.select("dataset_id", "row_no", F.posexplode(F.map_keys("row")).alias("pos", "col"))
+        found.select("dataset_id", "first_row", F.posexplode("keys").alias("pos", "col"))
         .groupBy("dataset_id", "col")
-        .agg(F.min(F.struct("row_no", "pos")).alias("first"))
+        .agg(F.min(F.struct("first_row", "pos")).alias("first"))
     )
     by_first = Window.partitionBy("dataset_id").orderBy("first")
     return first_seen.select("dataset_id", "col", (F.row_number().over(by_first) - 1).alias("ord"))
 
 
+def dataset_columns(records: DataFrame) -> DataFrame:
+    """``(dataset_id, col, ord)``: the union of keys of each dataset in first-seen order."""
+    return columns_of(layouts(records))
+
+
 def _plain(name: Column) -> Column:
     return F.lower(strip(name))
 
@@ -182,19 +197,57 @@ def rename_report(plan: DataFrame) -> DataFrame:
     )
 
 
-def apply_plan(records: DataFrame, plan: DataFrame) -> DataFrame:
+def layout_changes(found: DataFrame, plan: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """What the plan does to the rows of a key list, in two written tables: ``(keys, moves, present)`` for the key lists that fare alike in
+    every dataset, and the same with ``dataset_id`` for the others.
+
+    ``moves`` lists the keys that change, with ``stays`` false for those that are dropped; ``present`` lists the required columns
+    that the dataset has after the plan, whether this row has them or not.
+    """
+    changes = (F.col("old") != F.col("new")) | F.col("dropped")
+    per_dataset = plan.groupBy("dataset_id").agg(
+        F.map_from_entries(F.collect_list(F.when(changes, F.struct("old", F.struct("new", (~F.col("dropped")).alias("stays")))))).alias("renames"),
+        F.array_sort(F.collect_set(F.when(~F.col("dropped") & F.col("new").isin(list(required)), F.col("new")))).alias("present"),
+    )
+    moves = F.transform(
+        F.filter("keys", lambda k: F.map_contains_key("renames", k)),
+        lambda k: F.struct(k.alias("old"), F.col("renames")[k]["new"].alias("new"), F.col("renames")[k]["stays"].alias("stays")),
+    )
+    lines = found.join(per_dataset, "dataset_id").select("dataset_id", "keys", F.struct(moves.alias("moves"), "present").alias("fate"))
+    alike = written(lines.groupBy("keys").agg(F.min("fate").alias("fate"), (F.min("fate") == F.max("fate")).alias("alike")))
+    apart = lines.join(alike.where("NOT alike").select("keys"), "keys", "left_semi")
+    return alike.where("alike").select("keys", "fate.*"), written(apart.select("dataset_id", "keys", "fate.*"))
+
+
+def apply_plan(records: DataFrame, plan: DataFrame, found: DataFrame | None = None, required: Sequence[str] | None = None) -> DataFrame:
     """Rename the keys of every row. Needs the ``dropped`` mark of :func:`settle_duplicates`.
 
-    Only columns that change travel with the join; rows of datasets without changes pass through untouched.
+    With ``found``, the :func:`layouts` of these records, rows meet the plan by their key list: a table as large as the
+    number of key lists, whatever the number of datasets. Only key lists that fare differently in several datasets are met
+    by dataset as well. Without it, the columns that change are joined by dataset; rows of datasets without changes pass through.
+    With ``required`` rows get ``present``, the required columns that their dataset has, for :func:`tabaudit.operators.rules.flag_missing`.
     """
-    changes = (
-        plan.where((F.col("old") != F.col("new")) | F.col("dropped"))
-        .groupBy("dataset_id")
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("old", F.when(~F.col("dropped"), F.col("new"))))).alias("renames")
+    if found is None:
+        if required is not None:
+            raise ValueError("required columns need the layouts")
+        changes = (
+            plan.where((F.col("old") != F.col("new")) | F.col("dropped"))
+            .groupBy("dataset_id")
+            .agg(
+                F.map_from_entries(F.collect_list(F.struct("old", F.when(~F.col("dropped"), F.col("new"))))).alias("renames")
+            )
         )
-    )
-    joined = records.join(changes, "dataset_id", "left")
+        joined, extra = records.join(changes, "dataset_id", "left"), []
+    else:
+        alike, apart = layout_changes(found, plan, required or ())
+        joined = records.withColumn("_keys", F.map_keys("row")).join(alike.withColumnRenamed("keys", "_keys"), "_keys", "left")
+        if not apart.isEmpty():
+            own = apart.select("dataset_id", F.col("keys").alias("_keys"), F.col("moves").alias("_moves"), F.col("present").alias("_present"))
+            joined = joined.join(own, ["dataset_id", "_keys"], "left")
+            joined = joined.withColumns({"moves": F.coalesce("_moves", "moves"), "present": F.coalesce("_present", "present")})
+        entries = F.transform("moves", lambda m: F.struct(m["old"], F.when(m["stays"], m["new"])))
+        joined = joined.withColumn("renames", F.when(F.size("moves") > 0, F.map_from_entries(entries)))
+        extra = [] if required is None else [F.coalesce("present", F.array().cast("array<string>")).alias("present")]
     untouched = F.col("renames").isNull()
     kept = F.map_filter("row", lambda k, v: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())
     renamed = F.transform_keys(kept, lambda k, v: F.coalesce(F.col("renames")[k], k))
@@ -202,7 +255,7 @@ def apply_plan(records: DataFrame, plan: DataFrame) -> DataFrame:
     if "bare" in records.columns:
         stays = F.filter("bare", lambda k: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())
         joined = joined.withColumn("bare", F.when(untouched, F.col("bare")).otherwise(F.transform(stays, lambda k: F.coalesce(F.col("renames")[k], k))))
-    return joined.select(*records.columns)
+    return joined.select(*records.columns, *extra)
 
 
 def final_columns(plan: DataFrame) -> DataFrame:

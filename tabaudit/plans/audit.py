@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabaudit.operators import catalog as cat
 from tabaudit.operators import cleaning, routing, rules, schema
-from tabaudit.session import cut_lineage
+from tabaudit.session import cut_lineage, written
 from tabaudit.settings import Settings
 
 
-def rename_plan(records: DataFrame, aliases: dict[str, str]) -> DataFrame:
+def rename_plan(records: DataFrame, aliases: dict[str, str], found: DataFrame | None = None) -> DataFrame:
     """Renames of the audit, the year column included; of columns that end up equal the first stays.
 
-    Finding the columns reads every row, and both the columns and the plan are read several times. They are small
-    (one row per dataset and column), so each is written once to the checkpoint folder.
+    Finding the columns reads every row, unless the layouts of the records are ``found`` already. Columns and plan are read several
+    times. They are small (one row per dataset and column), so each is written once to the checkpoint folder.
     """
-    columns = cut_lineage(schema.dataset_columns(records))
+    columns = cut_lineage(schema.columns_of(schema.layouts(records) if found is None else found))
     plan = schema.audit_rename_plan(columns, aliases)
     return cut_lineage(schema.settle_duplicates(schema.with_year_rename(plan)))
 
 
-def clean(records: DataFrame, plan: DataFrame) -> DataFrame:
-    return cleaning.fix_region_codes(cleaning.clean_whitespace(schema.apply_plan(records, plan)))
+def clean(records: DataFrame, plan: DataFrame, found: DataFrame | None = None, required: Sequence[str] | None = None) -> DataFrame:
+    return cleaning.fix_region_codes(cleaning.clean_whitespace(schema.apply_plan(records, plan, found, required)))
 
 
 def assess(cleaned: DataFrame, plan: DataFrame, settings: Settings) -> DataFrame:
     audited = rules.start_audit(cleaned)
-    audited = rules.flag_missing(audited, settings.require_columns, schema.final_columns(plan))
+    columns = None if "present" in audited.columns else schema.final_columns(plan)
+    audited = rules.flag_missing(audited, settings.require_columns, columns)
     audited = rules.warn_year(audited, settings.year_min, settings.year_max)
     return rules.mark_ready(audited)
 
@@ -78,8 +81,9 @@ def audit(
     if settings.max_datasets is not None:
         head = cut_lineage(head)
         assessed = records.join(head.select(F.col("id").alias("dataset_id")), "dataset_id", "left_semi")
-    plan = rename_plan(assessed, aliases)
-    audited = assess(clean(assessed, plan), plan, settings)
+    layouts = written(schema.layouts(assessed))
+    plan = rename_plan(assessed, aliases, layouts)
+    audited = assess(clean(assessed, plan, layouts, settings.require_columns), plan, settings)
     issues = schema.schema_issues(schema.final_columns(plan), settings.require_columns, plan)
     quality = cut_lineage(routing.quality_report(head, audited, issues, suspects, fetch_status, settings.allowed_load_statuses))
     tables["renames"] = schema.rename_report(plan)

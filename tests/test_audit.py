@@ -71,6 +71,41 @@ def test_clean_chain(spark):
     assert row == {"nama_wilayah": "Kota Semarang", "kode_wilayah": "33.20", "tahun": "2022", "jumlah": "100"}
 
 
+RAGGED = [
+    ("a", 0, {"kod_wil": "3320", "thn": "2022"}), ("a", 1, {"kod_wil": "3321", "thn": None}),
+    ("b", 0, {"kod_wil": "3320", "thn": "2022"}), ("b", 1, {"tahun": "2021"}),  # here thn isn't the year
+    ("c", 0, {"thn": "2020", "kod_wil": "3320"}), ("c", 1, {"kod_wil": ""}), ("c", 2, {"KOD_WIL": "1", "kod_wil": "2"}),
+    ("d", 0, {"tahun": "2021"}), ("d", 1, {}), ("e", 0, None),
+]
+
+
+def test_rows_meet_the_plan_by_key_list(spark):
+    """The same rows as by dataset, also where a key list fares differently in several datasets."""
+    frame = records(spark, RAGGED)
+    found = schema.layouts(frame)
+    plan = rename_plan(frame, ALIASES, found)
+    by_dataset = {(r.dataset_id, r.row_no): r.row for r in schema.apply_plan(frame, plan).collect()}
+    assert {(r.dataset_id, r.row_no): r.row for r in schema.apply_plan(frame, plan, found).collect()} == by_dataset
+    assert by_dataset["a", 0]["tahun"] == "2022" and by_dataset["b", 0]["thn"] == "2022" and len(by_dataset) == len(RAGGED)
+    alike, apart = schema.layout_changes(found, plan)
+    assert {tuple(r["keys"]) for r in apart.collect()} == {("kod_wil", "thn")} and alike.where(F.array_contains("keys", "tahun")).count() == 1
+    for required in (["tahun", "kode_wilayah"], []):
+        by_columns = rules.flag_missing(rules.start_audit(clean(frame, plan)), required, schema.final_columns(plan))
+        by_layout = rules.flag_missing(rules.start_audit(clean(frame, plan, found, required)), required)
+        assert by_layout.columns == by_columns.columns
+        assert {(r.dataset_id, r.row_no): r.flag_reason for r in by_layout.collect()} == {(r.dataset_id, r.row_no): r.flag_reason for r in by_columns.collect()}
+    with pytest.raises(ValueError):
+        schema.apply_plan(frame, plan, required=["tahun"])
+
+
+def test_rows_of_like_datasets_are_not_exchanged(spark):
+    frame = records(spark, [(f"d{i}", n, {"kod_wil": "3320", "thn": "2022", "jumlah": "1"}) for i in range(20) for n in range(3)])
+    found = schema.layouts(frame)
+    applied = schema.apply_plan(frame, rename_plan(frame, ALIASES, found), found, ["tahun"])
+    assert "hashpartitioning" not in applied._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r.row) for r in applied.collect()} == {("kode_wilayah", "tahun", "jumlah")} and applied.first().present == ["tahun"]
+
+
 @pytest.mark.parametrize("code,want", [
     ("3320", "33.20"), ("332001", "33.20.01"), ("33200107", "33.20.01.07"), ("3320010007", "33.20.01.0007"),
     ("33.20", "33.20"), ("abc", "abc"), (None, None), ("33", "33"), ("33201", "33.20"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabaudit.functions import similarity, text
 from tabaudit.operators import availability, catalog, cleaning, mapping, payloads, progress, routing, rules, schema
 from tabaudit.plans import audit, migrate
-from tabaudit.session import cut_lineage, fresh_path
+from tabaudit.session import cut_lineage, fresh_path, written
 from tabaudit.settings import Settings
 from tabaudit.sources import pages, reports
 from tabaudit.sources.tables import complete_progress, parse_aliases, read_ready_csv
@@ -96,7 +96,8 @@ def rename_plan(spark, sf_dir):
 @query
 def rename_apply(spark, sf_dir):
     rows = inputs.legacy_rows(spark, sf_dir)
-    applied = schema.apply_plan(rows, audit.rename_plan(rows, ALIASES))
+    layouts = written(schema.layouts(rows))
+    applied = schema.apply_plan(rows, audit.rename_plan(rows, ALIASES, layouts), layouts)
     names = ["tahun", "kode_wilayah", "nama_wilayah", "jumlah", "nama", "prioritas", "kod_wil", "thn"]
     return applied.select("dataset_id", "row_no", *[F.col("row")[name].alias(name) for name in names], F.size("row").alias("n_keys"))
 
@@ -172,8 +173,10 @@ def _cleaned(spark, sf_dir):
 
 
 def _assessed(spark, sf_dir):
-    cleaned, plan = _cleaned(spark, sf_dir)
-    return audit.assess(cleaned, plan, SETTINGS), plan
+    rows = inputs.legacy_rows(spark, sf_dir)
+    layouts = written(schema.layouts(rows))
+    plan = audit.rename_plan(rows, ALIASES, layouts)
+    return audit.assess(audit.clean(rows, plan, layouts, SETTINGS.require_columns), plan, SETTINGS), plan
 
 
 def _status(audited):

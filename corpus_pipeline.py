@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabaudit.llm import exact_dedup, mixing, ngram_join, packing, quality
 from tabaudit.llm.queries import MIX_MOST, MIX_SHARE, MIX_WEIGHTS, earlier, table
-from tabaudit.session import fresh_path, scratch
+from tabaudit.session import fresh_path, scratch, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -38,12 +38,22 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
+def _lean(stage: Stage) -> Stage:
+    """The stage with small batches between the JVM and its workers, which share an executor's memory."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality classifier", accept_quality),
-    ("exact dedup", drop_exact_copies),
-    ("n-gram Jaccard join", drop_near_copies),
-    ("mixing sources", mix_sources),
-    ("packing", pack_sequences),
+    ("quality classifier", _lean(accept_quality)),
+    ("exact dedup", _lean(drop_exact_copies)),
+    ("n-gram Jaccard join", _lean(drop_near_copies)),
+    ("mixing sources", _lean(mix_sources)),
+    ("packing", _lean(pack_sequences)),
 ]
 
 #: The classifier, the random rounding and the tokenizer can't be said in SQL; tests compare with brute force.

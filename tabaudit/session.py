@@ -55,6 +55,21 @@ def fresh_path(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
 
 
+#: Bytes of an Arrow batch in :func:`small_batches`. A batch is held by the JVM and by the worker, and grown by doubling.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of at most ``BATCH_BYTES``, or of one row; a smaller setting of the session stays.
+
+    Spark's own limit is sixteen times as much, which texts of some kilobytes fill. The setting holds for plans made from here on.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = int(spark.conf.get(name).removesuffix("b"))
+    if not 0 < own <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 _SCOPES: list[list[str]] = []
 
 

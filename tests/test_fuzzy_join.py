@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabaudit.functions.similarity import lcs_length, ratio, row_set_similarity
 from tabaudit.operators.fuzzy_join import check_threshold, length_bands, similar_pairs
-from tabaudit.functions.subsequence import Strings, common_lengths
+from tabaudit.functions.subsequence import Strings, common_lengths, scores, scores_from
 from tabaudit.operators import leaders as leading
 from tabaudit.operators import tiles
 
@@ -152,3 +152,30 @@ def test_threshold_checks_and_bands():
         for low, high, piece, _ in bands[:20]:
             for size in (low, high):
                 assert piece == 1 or size // piece >= size * (201 - 2 * threshold) // 100 + 1
+
+
+def test_pieces_are_joined_without_a_broadcast(spark):
+    strings = spark.createDataFrame([(i, 0, 0, f"a title of some length {i}") for i in range(20)], "sid long, side int, block int, text string")
+    plan = similar_pairs(strings, 98)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=merge" in plan
+
+
+def test_bounds_of_a_cell_do_not_depend_on_the_order_of_its_strings():
+    long_, short = Strings(["abcdefghij" * 6, "abcdefgh"]), Strings(["abcdefghij" * 6, "abcdefghi"])
+    backward = Strings(long_.texts[::-1]), Strings(short.texts[::-1])
+    assert {(long_.texts[i], short.texts[j]) for i, j in zip(*tiles.near_pairs(long_, short, np.ones((2, 2), bool), 85))} == {
+        (backward[0].texts[i], backward[1].texts[j]) for i, j in zip(*tiles.near_pairs(*backward, np.ones((2, 2), bool), 85))
+    }
+
+
+@pytest.mark.parametrize("threshold", [60, 75, 85, 95])
+def test_heads_of_strings_lose_no_pair(threshold):
+    rng = random.Random(threshold)
+    base = ["".join(rng.choice("abcde") for _ in range(n)) for n in (1, 5, 62, 63, 64, 126, 127, 300, 520, 700)]
+    texts = base + ["".join(c for c in text if rng.random() > 0.12) or "a" for text in base] + [text[len(text) // 4 :] for text in base]
+    strings = Strings(texts)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(texts)), np.arange(len(texts))))
+    want = np.array([ratio(texts[i], texts[j]) for i, j in zip(a, b)])
+    k, found = scores_from(threshold, strings, a, strings, b)
+    assert (scores(strings, a, strings, b) == want).all()
+    assert k.tolist() == np.flatnonzero(want >= threshold).tolist() and (found == want[k]).all()

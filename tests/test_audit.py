@@ -242,3 +242,17 @@ def test_values_keep_their_type_from_page_to_packed_row(spark):
     assert json.loads(row.Row_Data_JSON) == {
         "jumlah": 2500, "nilai": 1250.5, "aktif": True, "kode_wilayah": "33.20", "kode": "0012", "nama_wilayah": "Kota X", "sub": {"a": "x  y"}, "kosong": None, "tahun": 2021, "q\"k": 1,
     }
+
+
+def test_gate_does_not_work_out_the_rules_again(spark):
+    rows = records(spark, [("d", 1, {"tahun": "1990", "kode_wilayah": " 3320 "}), ("d", 2, {"tahun": "", "kode_wilayah": "11"})])
+    found = schema.layouts(rows)
+    plan = rename_plan(rows, {}, found)
+    audited = assess(clean(rows, plan, found, ["tahun"]), plan, Settings(require_columns=("tahun",)))
+
+    def mentions(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("transform_values")
+
+    chosen = routing.gate_select(audited)
+    assert mentions(chosen) <= mentions(audited)
+    assert [row.row_no for row in chosen.collect()] == [1]

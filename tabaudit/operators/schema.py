@@ -32,20 +32,40 @@ def layouts(records: DataFrame) -> DataFrame:
     """``(dataset_id, keys, first_row)``: the distinct key lists among the rows of each dataset, and the first row that has each.
 
     Most datasets have one. Counting them is a partial aggregate, so what is exchanged grows with the key lists, not with the rows.
+    Rows without keys are dropped by their count: a filter on the keys would be moved below what makes the rows, which were made twice.
     """
-    keyed = records.select("dataset_id", "row_no", F.map_keys("row").alias("keys")).where(F.col("keys").isNotNull())
-    return keyed.groupBy("dataset_id", "keys").agg(F.min("row_no").alias("first_row"))
+    keyed = records.select("dataset_id", "row_no", F.map_keys("row").alias("keys"))
+    found = keyed.groupBy("dataset_id", "keys").agg(F.min("row_no").alias("first_row"), F.count("keys").alias("_n"))
+    return found.where("_n > 0").drop("_n")
+
+
+def _first_seen(found: DataFrame) -> DataFrame:
+    keys = found.select("dataset_id", "first_row", F.posexplode("keys").alias("pos", "col"))
+    return keys.groupBy("dataset_id", "col").agg(F.min(F.struct("first_row", "pos")).alias("first"))
 
 
 def columns_of(found: DataFrame) -> DataFrame:
     """``(dataset_id, col, ord)`` from the key lists of :func:`layouts`."""
-    first_seen = (
-        found.select("dataset_id", "first_row", F.posexplode("keys").alias("pos", "col"))
-        .groupBy("dataset_id", "col")
-        .agg(F.min(F.struct("first_row", "pos")).alias("first"))
-    )
     by_first = Window.partitionBy("dataset_id").orderBy("first")
-    return first_seen.select("dataset_id", "col", (F.row_number().over(by_first) - 1).alias("ord"))
+    return _first_seen(found).select("dataset_id", "col", (F.row_number().over(by_first) - 1).alias("ord"))
+
+
+def models_of(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Datasets with the same columns in the same order fare alike in a plan, so one of them, the model, is planned for all.
+
+    Returns ``models(dataset_id, model)`` for all datasets and ``(dataset_id, col, ord)`` of the models, from the key lists of
+    :func:`layouts`. The model is the least id. Rows without an id are a dataset that is its own model.
+    """
+    listed = F.array_sort(F.collect_list(F.struct("first", "col")))["col"]
+    lists = written(_first_seen(found).groupBy("dataset_id").agg(listed.alias("cols")).withColumn("nameless", F.col("dataset_id").isNull()))
+    kinds = written(lists.groupBy("cols", "nameless").agg(F.min("dataset_id").alias("model")), packed=False)
+    columns = kinds.select(F.col("model").alias("dataset_id"), F.posexplode("cols").alias("ord", "col")).select("dataset_id", "col", "ord")
+    return written(lists.join(kinds, ["cols", "nameless"]).select("dataset_id", "model"), packed=False), columns
+
+
+def of_all(table: DataFrame, models: DataFrame) -> DataFrame:
+    """A table on the model datasets of :func:`models_of`, repeated for every dataset that has the model."""
+    return models.join(table.withColumnRenamed("dataset_id", "_model"), F.col("model").eqNullSafe(F.col("_model"))).select(*table.columns)
 
 
 def dataset_columns(records: DataFrame) -> DataFrame:
@@ -197,13 +217,19 @@ def rename_report(plan: DataFrame) -> DataFrame:
     )
 
 
-def layout_changes(found: DataFrame, plan: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+def layout_changes(
+    found: DataFrame, plan: DataFrame, required: Sequence[str] = (), models: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """What the plan does to the rows of a key list, in two written tables: ``(keys, moves, present)`` for the key lists that fare alike in
     every dataset, and the same with ``dataset_id`` for the others.
 
     ``moves`` lists the keys that change, with ``stays`` false for those that are dropped; ``present`` lists the required columns
-    that the dataset has after the plan, whether this row has them or not.
+    that the dataset has after the plan, whether this row has them or not. With ``models`` the plan is one on the models
+    of :func:`models_of`, and what it does is worked out once for each of their key lists.
     """
+    if models is not None:
+        own = found.join(models.hint("merge"), "dataset_id")  # both grow with the datasets, and compressed files look small
+        found = written(own.select(F.col("model").alias("dataset_id"), "keys").distinct(), packed=False)
     changes = (F.col("old") != F.col("new")) | F.col("dropped")
     per_dataset = plan.groupBy("dataset_id").agg(
         F.map_from_entries(F.collect_list(F.when(changes, F.struct("old", F.struct("new", (~F.col("dropped")).alias("stays")))))).alias("renames"),
@@ -214,22 +240,40 @@ def layout_changes(found: DataFrame, plan: DataFrame, required: Sequence[str] =
         lambda k: F.struct(k.alias("old"), F.col("renames")[k]["new"].alias("new"), F.col("renames")[k]["stays"].alias("stays")),
     )
     lines = found.join(per_dataset, "dataset_id").select("dataset_id", "keys", F.struct(moves.alias("moves"), "present").alias("fate"))
-    alike = written(lines.groupBy("keys").agg(F.min("fate").alias("fate"), (F.min("fate") == F.max("fate")).alias("alike")))
-    apart = lines.join(alike.where("NOT alike").select("keys"), "keys", "left_semi")
-    return alike.where("alike").select("keys", "fate.*"), written(apart.select("dataset_id", "keys", "fate.*"))
+    alike = written(lines.groupBy("keys").agg(F.min("fate").alias("fate"), (F.min("fate") == F.max("fate")).alias("alike")), packed=False)
+    apart = lines.join(alike.where("NOT alike").select("keys"), "keys", "left_semi").select("dataset_id", "keys", "fate.*")
+    if models is not None:
+        apart = written(apart, packed=False)
+        if not apart.isEmpty():
+            apart = own.select("dataset_id", "model", "keys").join(apart.withColumnRenamed("dataset_id", "model"), ["model", "keys"]).drop("model")
+    return alike.where("alike").select("keys", "fate.*"), written(apart, packed=False)
+
+
+def _by_key_list(table: DataFrame) -> DataFrame:
+    """What the rows of a key list need, worked out once for all of them: ``renames`` (key to new name, NULL where dropped), the ``names``
+    that are left, and their ``places`` among the keys, NULL where none is dropped. All are NULL where nothing changes."""
+    entries = F.transform("moves", lambda m: F.struct(m["old"], F.when(m["stays"], m["new"])))
+    table = table.withColumn("renames", F.when(F.size("moves") > 0, F.map_from_entries(entries))).drop("moves")
+    target = F.transform("keys", lambda k, i: F.struct(F.when(F.map_contains_key("renames", k), F.col("renames")[k]).otherwise(k).alias("name"), (i + 1).alias("place")))
+    table = table.withColumn("left", F.when(F.col("renames").isNotNull(), F.filter(target, lambda t: t["name"].isNotNull())))
+    places = F.when(F.size("left") < F.size("keys"), F.col("left")["place"])
+    return table.withColumns({"names": F.col("left")["name"], "places": places}).drop("left")
 
 
-def apply_plan(records: DataFrame, plan: DataFrame, found: DataFrame | None = None, required: Sequence[str] | None = None) -> DataFrame:
+def apply_plan(
+    records: DataFrame, plan: DataFrame, found: DataFrame | None = None, required: Sequence[str] | None = None, models: DataFrame | None = None
+) -> DataFrame:
     """Rename the keys of every row. Needs the ``dropped`` mark of :func:`settle_duplicates`.
 
     With ``found``, the :func:`layouts` of these records, rows meet the plan by their key list: a table as large as the
     number of key lists, whatever the number of datasets. Only key lists that fare differently in several datasets are met
     by dataset as well. Without it, the columns that change are joined by dataset; rows of datasets without changes pass through.
     With ``required`` rows get ``present``, the required columns that their dataset has, for :func:`tabaudit.operators.rules.flag_missing`.
+    With ``models`` the plan is one on the models of :func:`models_of`.
     """
     if found is None:
-        if required is not None:
-            raise ValueError("required columns need the layouts")
+        if required is not None or models is not None:
+            raise ValueError("required columns and models need the layouts")
         changes = (
             plan.where((F.col("old") != F.col("new")) | F.col("dropped"))
             .groupBy("dataset_id")
@@ -239,18 +283,21 @@ def apply_plan(records: DataFrame, plan: DataFrame, found: DataFrame | None = No
         )
         joined, extra = records.join(changes, "dataset_id", "left"), []
     else:
-        alike, apart = layout_changes(found, plan, required or ())
-        joined = records.withColumn("_keys", F.map_keys("row")).join(alike.withColumnRenamed("keys", "_keys"), "_keys", "left")
+        alike, apart = layout_changes(found, plan, required or (), models)
+        fates = ["present", "renames", "names", "places"]
+        joined = records.withColumn("_keys", F.map_keys("row")).join(_by_key_list(alike).withColumnRenamed("keys", "_keys"), "_keys", "left")
         if not apart.isEmpty():
-            own = apart.select("dataset_id", F.col("keys").alias("_keys"), F.col("moves").alias("_moves"), F.col("present").alias("_present"))
-            joined = joined.join(own, ["dataset_id", "_keys"], "left")
-            joined = joined.withColumns({"moves": F.coalesce("_moves", "moves"), "present": F.coalesce("_present", "present")})
-        entries = F.transform("moves", lambda m: F.struct(m["old"], F.when(m["stays"], m["new"])))
-        joined = joined.withColumn("renames", F.when(F.size("moves") > 0, F.map_from_entries(entries)))
+            own = _by_key_list(apart).select("dataset_id", F.col("keys").alias("_keys"), *[F.col(name).alias(f"_{name}") for name in fates])
+            joined = joined.join(own, ["dataset_id", "_keys"], "left").withColumns({name: F.coalesce(f"_{name}", name) for name in fates})
         extra = [] if required is None else [F.coalesce("present", F.array().cast("array<string>")).alias("present")]
     untouched = F.col("renames").isNull()
-    kept = F.map_filter("row", lambda k, v: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())
-    renamed = F.transform_keys(kept, lambda k, v: F.coalesce(F.col("renames")[k], k))
+    if found is None:
+        kept = F.map_filter("row", lambda k, v: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())
+        renamed = F.transform_keys(kept, lambda k, v: F.coalesce(F.col("renames")[k], k))
+    else:
+        values = F.map_values("row")
+        chosen = F.when(F.col("places").isNull(), values).otherwise(F.transform("places", lambda place: F.element_at(values, place)))
+        renamed = F.map_from_arrays("names", chosen)
     joined = joined.withColumn("row", F.when(untouched, F.col("row")).otherwise(renamed))
     if "bare" in records.columns:
         stays = F.filter("bare", lambda k: ~F.map_contains_key("renames", k) | F.col("renames")[k].isNotNull())

@@ -16,16 +16,27 @@ from tabaudit.settings import Settings
 def rename_plan(records: DataFrame, aliases: dict[str, str], found: DataFrame | None = None) -> DataFrame:
     """Renames of the audit, the year column included; of columns that end up equal the first stays.
 
-    Finding the columns reads every row, unless the layouts of the records are ``found`` already. Columns and plan are read several
-    times. They are small (one row per dataset and column), so each is written once to the checkpoint folder.
+    Finding the columns reads every row, unless the layouts of the records are ``found`` already. The plan is made once for each
+    list of columns and repeated for the datasets that have it.
     """
-    columns = cut_lineage(schema.columns_of(schema.layouts(records) if found is None else found))
+    models, plan = model_plan(written(schema.layouts(records)) if found is None else found, aliases)
+    return schema.of_all(plan, models)
+
+
+def model_plan(found: DataFrame, aliases: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """``(models, plan)``: the renames of the audit for one dataset of each column list, and which datasets it stands for.
+
+    The columns of all datasets are never in one plan; that grew with datasets times columns.
+    """
+    models, columns = schema.models_of(found)
     plan = schema.audit_rename_plan(columns, aliases)
-    return cut_lineage(schema.settle_duplicates(schema.with_year_rename(plan)))
+    return models, written(schema.settle_duplicates(schema.with_year_rename(plan)), packed=False)
 
 
-def clean(records: DataFrame, plan: DataFrame, found: DataFrame | None = None, required: Sequence[str] | None = None) -> DataFrame:
-    return cleaning.fix_region_codes(cleaning.clean_whitespace(schema.apply_plan(records, plan, found, required)))
+def clean(
+    records: DataFrame, plan: DataFrame, found: DataFrame | None = None, required: Sequence[str] | None = None, models: DataFrame | None = None
+) -> DataFrame:
+    return cleaning.fix_region_codes(cleaning.clean_whitespace(schema.apply_plan(records, plan, found, required, models)))
 
 
 def assess(cleaned: DataFrame, plan: DataFrame, settings: Settings) -> DataFrame:
@@ -82,11 +93,11 @@ def audit(
         head = cut_lineage(head)
         assessed = records.join(head.select(F.col("id").alias("dataset_id")), "dataset_id", "left_semi")
     layouts = written(schema.layouts(assessed))
-    plan = rename_plan(assessed, aliases, layouts)
-    audited = assess(clean(assessed, plan, layouts, settings.require_columns), plan, settings)
-    issues = schema.schema_issues(schema.final_columns(plan), settings.require_columns, plan)
+    models, plan = model_plan(layouts, aliases)
+    audited = assess(clean(assessed, plan, layouts, settings.require_columns, models), plan, settings)
+    issues = schema.of_all(schema.schema_issues(schema.final_columns(plan), settings.require_columns, plan), models)
     quality = cut_lineage(routing.quality_report(head, audited, issues, suspects, fetch_status, settings.allowed_load_statuses))
-    tables["renames"] = schema.rename_report(plan)
+    tables["renames"] = schema.of_all(schema.rename_report(plan), models)
     tables["quality"] = quality
     tables["summary"] = routing.load_summary(quality)
     tables["load_ready"] = routing.pack_ready(audited, quality, settings.allowed_load_statuses)

@@ -87,13 +87,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, packed: bool = True) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Cuts the lineage like ``checkpoint()``; the table is compressed, is read by column, and the optimiser knows its size.
+    Cuts the lineage like ``checkpoint()``; the table is compressed, is read by column, and the optimiser knows its size: that of its files.
+    Tables that others may be joined with by broadcast are written with ``packed=False``, neither compressed nor by dictionary; lists of few
+    different names else take a hundred times as much memory as their files.
     """
     path = fresh_path(df.sparkSession)
-    df.write.parquet(path)
+    if packed:
+        df.write.parquet(path)
+    else:
+        df.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(path)
     for open_scope in _SCOPES:
         open_scope.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

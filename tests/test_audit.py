@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabaudit.operators import catalog, cleaning, routing, rules, schema
-from tabaudit.plans.audit import assess, audit, clean, rename_plan
+from tabaudit.plans.audit import assess, audit, clean, model_plan, rename_plan
 from tabaudit.settings import Settings
 from tabaudit.sources import pages
 from tabaudit.sources.tables import parse_aliases
@@ -256,3 +256,19 @@ def test_gate_does_not_work_out_the_rules_again(spark):
     chosen = routing.gate_select(audited)
     assert mentions(chosen) <= mentions(audited)
     assert [row.row_no for row in chosen.collect()] == [1]
+
+
+def test_renames_are_planned_once_for_like_datasets(spark):
+    """The plan doesn't grow with the datasets, and every dataset has the renames that it would get by itself."""
+    rows = [(f"{name}{i}", n, row) for i in range(6) for name, n, row in RAGGED] + [(None, 0, {"tahun": "2021", "thn": "1"}), (None, 1, {"KOD_WIL": "1"})]
+    frame = records(spark, rows)
+    found = schema.layouts(frame)
+    models, plan = model_plan(found, ALIASES)
+    assert plan.select("dataset_id").distinct().count() == 5  # a to d, and the rows without an id
+    alone = schema.settle_duplicates(schema.with_year_rename(schema.audit_rename_plan(schema.dataset_columns(frame), ALIASES)))
+    assert sorted(map(str, schema.of_all(plan, models).select(*alone.columns).collect())) == sorted(map(str, alone.collect()))
+
+    def rows_by(applied):
+        return sorted(str((r.dataset_id, r.row_no, r.row)) for r in applied.where("dataset_id is not null").collect())
+
+    assert rows_by(schema.apply_plan(frame, plan, found, ["tahun"], models)) == rows_by(schema.apply_plan(frame, alone))

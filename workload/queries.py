@@ -97,7 +97,8 @@ def rename_plan(spark, sf_dir):
 def rename_apply(spark, sf_dir):
     rows = inputs.legacy_rows(spark, sf_dir)
     layouts = written(schema.layouts(rows))
-    applied = schema.apply_plan(rows, audit.rename_plan(rows, ALIASES, layouts), layouts)
+    models, plan = audit.model_plan(layouts, ALIASES)
+    applied = schema.apply_plan(rows, plan, layouts, models=models)
     names = ["tahun", "kode_wilayah", "nama_wilayah", "jumlah", "nama", "prioritas", "kod_wil", "thn"]
     return applied.select("dataset_id", "row_no", *[F.col("row")[name].alias(name) for name in names], F.size("row").alias("n_keys"))
 
@@ -175,8 +176,8 @@ def _cleaned(spark, sf_dir):
 def _assessed(spark, sf_dir):
     rows = inputs.legacy_rows(spark, sf_dir)
     layouts = written(schema.layouts(rows))
-    plan = audit.rename_plan(rows, ALIASES, layouts)
-    return audit.assess(audit.clean(rows, plan, layouts, SETTINGS.require_columns), plan, SETTINGS), plan
+    models, plan = audit.model_plan(layouts, ALIASES)
+    return audit.assess(audit.clean(rows, plan, layouts, SETTINGS.require_columns, models), plan, SETTINGS), plan, models
 
 
 def _status(audited):
@@ -231,8 +232,8 @@ def gate_summary(spark, sf_dir):
 
 
 def _quality(spark, sf_dir):
-    audited, plan = _assessed(spark, sf_dir)
-    issues = schema.schema_issues(schema.final_columns(plan), SETTINGS.require_columns, plan)
+    audited, plan, models = _assessed(spark, sf_dir)
+    issues = schema.of_all(schema.schema_issues(schema.final_columns(plan), SETTINGS.require_columns, plan), models)
     return audited, routing.quality_report(inputs.legacy_catalog(spark, sf_dir), audited, issues)
 
 

@@ -19,7 +19,12 @@ def strip(text: Column) -> Column:
 
 def squash_whitespace(text: Column) -> Column:
     """Strip both ends and turn every inner run of whitespace into one blank."""
-    return F.regexp_replace(F.regexp_replace(text, rf"(?U){WHITESPACE}+", " "), r"^ | \z", "")
+    return F.trim(F.regexp_replace(text, rf"(?U){WHITESPACE}+", " "))
+
+
+def is_blank(text: Column) -> Column:
+    """Nothing but whitespace; NULL for NULL."""
+    return text.rlike(rf"(?U)^{WHITESPACE}*\z")
 
 
 def typed_json(row: Column, bare: Column) -> Column:
@@ -48,16 +53,16 @@ def sort_tokens(text: Column) -> Column:
 
 def format_region_code(code: Column) -> Column:
     """Digits-only codes of four or more digits get their dots; everything else stays as it is."""
-    digits = strip(code)
-    size = F.length(digits)
-    parts = F.concat_ws(
-        ".",
-        F.substring(digits, 1, 2),
-        F.substring(digits, 3, 2),
-        F.when(size >= 6, F.substring(digits, 5, 2)),
-        F.when(size >= 8, F.substr(digits, F.lit(7))),
-    )
-    return F.when(digits.rlike(r"^\p{Nd}{4,}\z"), parts).otherwise(code)
+    two, inside = r"(\p{Nd}{2})", code
+    for groups, rest in ((2, r"\p{Nd}?"), (3, r"\p{Nd}?"), (3, r"(\p{Nd}{2,})")):  # 4 or 5 digits, 6 or 7, more
+        parts = ".".join(f"${n + 1}" for n in range(groups + rest.startswith("(")))
+        inside = F.regexp_replace(inside, rf"(?U)^{WHITESPACE}*{two * groups}{rest}{WHITESPACE}*\z", parts)
+    return inside
+
+
+def is_undotted_code(code: Column) -> Column:
+    """Whether :func:`format_region_code` changes the code; NULL for NULL."""
+    return code.rlike(rf"(?U)^{WHITESPACE}*\p{{Nd}}{{4,}}{WHITESPACE}*\z")
 
 
 def parse_number(text: Column) -> Column:

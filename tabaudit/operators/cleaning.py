@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabaudit.functions.text import format_region_code, squash_whitespace, strip
+from tabaudit.functions.text import format_region_code, is_undotted_code, squash_whitespace, strip
 
 REGION_COLUMN = "kode_wilayah"
 
@@ -21,7 +21,7 @@ def fix_region_codes(records: DataFrame, column: str = REGION_COLUMN) -> DataFra
     """Dotted form of the digits-only codes in one column. A number that gets dots is a string from then on."""
     fixed = F.transform_values("row", lambda k, v: F.when(k == column, format_region_code(v)).otherwise(v))
     if "bare" in records.columns:
-        dotted = F.coalesce(format_region_code(F.col("row")[column]) != F.col("row")[column], F.lit(False))
+        dotted = F.array_contains("bare", column) & is_undotted_code(F.col("row")[column])
         records = records.withColumn("bare", F.when(dotted, F.array_remove("bare", column)).otherwise(F.col("bare")))
     return records.withColumn("row", F.when(F.map_contains_key("row", column), fixed).otherwise(F.col("row")))
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabaudit.functions.text import parse_number, squash_whitespace
+from tabaudit.functions.text import is_blank, parse_number
 
 PENDING, READY, FLAGGED = "pending", "ready", "flagged"
 AUDIT_COLUMNS = ("migration_status", "flag_reason")
@@ -23,7 +23,8 @@ def start_audit(records: DataFrame) -> DataFrame:
         status, reason = F.col("migration_status"), F.col("flag_reason")
     else:
         status, reason = F.col("row")["migration_status"], F.col("row")["flag_reason"]
-    without = F.map_filter("row", lambda k, v: ~k.isin(*AUDIT_COLUMNS))
+    brought = F.map_contains_key("row", AUDIT_COLUMNS[0]) | F.map_contains_key("row", AUDIT_COLUMNS[1])
+    without = F.when(brought, F.map_filter("row", lambda k, v: ~k.isin(*AUDIT_COLUMNS))).otherwise(F.col("row"))
     return (
         records.withColumn("migration_status", F.coalesce(F.lower(status), F.lit(PENDING)))
         .withColumn("flag_reason", F.coalesce(reason, F.lit("")))
@@ -65,7 +66,7 @@ def flag_missing(audited: DataFrame, required: Sequence[str], columns: DataFrame
     missing = {}
     for name in required:
         value = F.col("row")[name]
-        blank = value.isNull() | (squash_whitespace(value) == "")
+        blank = value.isNull() | is_blank(value)
         missing[name] = F.coalesce(F.array_contains("_present", name), F.lit(False)) & blank
     reasons = [F.when(hit, F.lit(f"Missing '{name}'")) for name, hit in missing.items()]
     any_missing = F.lit(False)

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tabaudit.functions import text as text_functions
 from tabaudit.operators import catalog, cleaning, routing, rules, schema
 from tabaudit.plans.audit import assess, audit, clean, model_plan, rename_plan
 from tabaudit.settings import Settings
@@ -272,3 +273,17 @@ def test_renames_are_planned_once_for_like_datasets(spark):
         return sorted(str((r.dataset_id, r.row_no, r.row)) for r in applied.where("dataset_id is not null").collect())
 
     assert rows_by(schema.apply_plan(frame, plan, found, ["tahun"], models)) == rows_by(schema.apply_plan(frame, alone))
+
+
+def test_finding_key_lists_makes_each_row_once(spark):
+    found = schema.layouts(records(spark, RAGGED))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert {(r.dataset_id, tuple(r["keys"])) for r in found.collect()} == {(name, tuple(row)) for name, _, row in RAGGED if row is not None}
+
+
+@pytest.mark.parametrize("code,want", [(" 3320\t", "33.20"), ("3320010\x85", "33.20.01"), ("٣٣٢٠", "٣٣.٢٠"), (" 332 ", " 332 "), ("33 20", "33 20"), ("", "")])
+def test_region_codes_in_three_passes(spark, code, want):
+    frame = spark.createDataFrame([(code,)], "code string")
+    fixed = frame.select(text_functions.format_region_code(F.col("code")).alias("fixed"), text_functions.is_undotted_code(F.col("code")).alias("undotted"))
+    assert tuple(fixed.first()) == (want, want != code)
+    assert fixed.select("fixed")._jdf.queryExecution().analyzed().toString().count("regexp_replace") == 3

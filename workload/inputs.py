@@ -51,13 +51,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def legacy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``records(dataset_id, row_no, row, bare)``: one ragged dataset per customer, one row per order; ``jml`` is a number."""
+    """``records(dataset_id, row_no, row, bare)``: one ragged dataset per customer, one row per order; ``jml`` is a number.
+
+    Values are worked out once, before the map is made of them.
+    """
+    names = {value: f"_{n}" for n, value in enumerate(dict.fromkeys(value for _, value, _ in LEGACY_COLUMNS))}
     cells = [
-        F.when(F.expr(exists), F.struct(F.lit(name).alias("key"), F.expr(value).alias("value")))
+        F.when(F.expr(exists), F.struct(F.lit(name).alias("key"), F.col(names[value]).alias("value")))
         for name, value, exists in LEGACY_COLUMNS
     ]
     row = F.map_from_entries(F.filter(F.array(*cells), lambda cell: cell.isNotNull()))
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", *[F.expr(value).alias(name) for value, name in names.items()])
+    return orders.select(
         F.expr("'ds_' || o_custkey").alias("dataset_id"), F.col("o_orderkey").alias("row_no"), row.alias("row"), F.array(F.lit("jml")).alias("bare")
     )
 

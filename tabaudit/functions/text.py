@@ -30,12 +30,14 @@ def is_blank(text: Column) -> Column:
 def typed_json(row: Column, bare: Column) -> Column:
     """A row as JSON text. Values of the keys in ``bare`` are JSON already and keep their text; all others are written as strings."""
 
-    def part(json: Column, behind: int) -> Column:
-        return F.substr(json, F.lit(2), F.length(json) - 1 - behind)
+    def quoted(text: Column) -> Column:
+        json = F.to_json(F.array(text))
+        plain = ~text.rlike(r'["\\\x00-\x1f]') & F.is_valid_utf8(text)  # most need no escapes, and a JSON writer for each is slow
+        return F.when(plain, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.substr(json, F.lit(2), F.length(json) - 2))
 
     def entry(e: Column) -> Column:
-        name = part(F.to_json(F.create_map(e["key"], F.lit(""))), 3)  # the name, quoted, and the colon
-        return F.when(F.array_contains(bare, e["key"]) & e["value"].isNotNull(), F.concat(name, e["value"])).otherwise(part(F.to_json(F.create_map(e["key"], e["value"])), 1))
+        value = F.when(e["value"].isNull(), "null").when(F.array_contains(bare, e["key"]), e["value"]).otherwise(quoted(e["value"]))
+        return F.concat(quoted(e["key"]), F.lit(":"), value)
 
     return F.concat(F.lit("{"), F.array_join(F.transform(F.map_entries(row), entry), ","), F.lit("}"))
 

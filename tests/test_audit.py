@@ -281,6 +281,15 @@ def test_finding_key_lists_makes_each_row_once(spark):
     assert {(r.dataset_id, tuple(r["keys"])) for r in found.collect()} == {(name, tuple(row)) for name, _, row in RAGGED if row is not None}
 
 
+def test_texts_without_escapes_need_no_json_writer(spark):
+    texts = ["", "plain", "q\"", "b\\", "n\n", "\x1f", "\x7f", "é😀", None]
+    frame = records(spark, [("d", n, {"k\"": text, "n": "1.50"}) for n, text in enumerate(texts)])
+    document = text_functions.typed_json(F.col("row"), F.array(F.lit("n")))
+    for (found,), text in zip(frame.orderBy("row_no").select(document).collect(), texts, strict=True):
+        assert json.loads(found) == {"k\"": text, "n": 1.5} and "1.50" in found
+    assert str(document).count("is_valid_utf8") > 0
+
+
 @pytest.mark.parametrize("code,want", [(" 3320\t", "33.20"), ("3320010\x85", "33.20.01"), ("٣٣٢٠", "٣٣.٢٠"), (" 332 ", " 332 "), ("33 20", "33 20"), ("", "")])
 def test_region_codes_in_three_passes(spark, code, want):
     frame = spark.createDataFrame([(code,)], "code string")
